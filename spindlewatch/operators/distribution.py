@@ -38,7 +38,10 @@ def distribution_stats(
     """
     stats = _sketch_stats if accuracy else _exact_stats
     if by is None:
-        rows = df.select(F.lit(0).alias("_group"), F.col(column).alias("_value"))
+        # Always 0, but computed: the optimizer folds a constant out of the join
+        # on it, which leaves a join without an equality.
+        only = F.pmod(F.hash(column), F.lit(1))
+        rows = df.select(only.alias("_group"), F.col(column).alias("_value"))
         return stats(rows, [0], probabilities, accuracy).drop("_group")
     rows = df.select(F.col(by).alias("_group"), F.col(column).alias("_value"))
     if groups is not None:

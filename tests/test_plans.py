@@ -111,6 +111,7 @@ def test_hours_report_shares_its_histogram(hot):
 
 
 SPLIT = {
+    "spark__sql__shuffle__partitions": "64",
     "spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes": "64k",
     "spark__sql__adaptive__advisoryPartitionSizeInBytes": "32k",
 }
