@@ -1,7 +1,9 @@
 from spindlewatch.functions.columns import (
     as_double,
     as_int,
+    day_of,
     format_day,
+    instant_of,
     joined_text,
     key_text,
     not_null,
@@ -15,7 +17,9 @@ from spindlewatch.functions.columns import (
 __all__ = [
     "as_double",
     "as_int",
+    "day_of",
     "format_day",
+    "instant_of",
     "joined_text",
     "key_text",
     "not_null",

@@ -24,6 +24,16 @@ def parse_instant(text: str | Column, pattern: str = OBSERVED_PATTERN) -> Column
     return F.try_to_timestamp(_column(text), F.lit(pattern))
 
 
+def day_of(df: DataFrame, name: str = "data") -> Column:
+    """The date of a column that holds either text or an instant."""
+    return parse_day(name).alias(name) if _is_text(df, name) else F.col(name).cast("date").alias(name)
+
+
+def instant_of(df: DataFrame, name: str = "data") -> Column:
+    """The instant of a column that holds either text or an instant."""
+    return parse_instant(name).alias(name) if _is_text(df, name) else F.col(name)
+
+
 def format_day(day: str | Column, pattern: str = REPORT_DAY_PATTERN) -> Column:
     """Date to text."""
     return F.date_format(day, pattern)
@@ -80,5 +90,9 @@ def not_null(columns: Iterable[str]) -> Column:
     return condition
 
 
+def _is_text(df: DataFrame, name: str) -> bool:
+    return isinstance(df.schema[name].dataType, T.StringType)
+
+
 def _column(value: str | Column) -> Column:
     return F.col(value) if isinstance(value, str) else value

@@ -12,8 +12,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spindlewatch.functions import not_null
-
 # Copies of each failed key. They let the rows of a hot key meet it in as many
 # tasks even where run-time splitting is off.
 FLAG_SALTS = 16
@@ -76,9 +74,13 @@ def _join_newest(df: DataFrame, key: str, instant: str, facts: dict[str, Column]
         .groupBy(F.col(key).alias("_key"))
         .agg(F.max(instant).alias("_newest"), *[value.alias(name) for name, value in facts.items()])
     )
-    dated = df.where(not_null([key, instant]))
     # Sorted merge: it spills, and run-time skew handling can split its row side.
-    return dated.join(per_key.hint("merge"), (F.col(key) == F.col("_key")) & (F.col(instant) == F.col("_newest")))
+    known = per_key.where(F.col("_newest").isNotNull()).hint("merge")
+    # A plain equality would add a NULL test of the instant below the scan's
+    # projection and so parse every instant twice. As the newest instants are
+    # never NULL, the null-safe one joins the same rows.
+    same = (F.col(key) == F.col("_key")) & F.col(instant).eqNullSafe(F.col("_newest"))
+    return df.where(F.col(key).isNotNull()).join(known, same)
 
 
 def _flagged(ever_failed: Column, failure: str) -> Column:

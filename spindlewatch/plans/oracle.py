@@ -96,8 +96,7 @@ ORACLE = {
     # Sources
     "scan_parquet": "SELECT l_orderkey, l_suppkey, l_returnflag FROM lineitem",
     "ingest_extract": TELEMETRY
-    + """SELECT strftime(instant, '%Y-%m-%dT%H:%M:%S.%f') AS data, serial_number, failure,
-                hours AS s9_power_on_hours FROM t""",
+    + "SELECT instant AS data, serial_number, failure, hours AS s9_power_on_hours FROM t",
     "ingest_if_absent": TELEMETRY
     + """SELECT vault_id, count(*) AS observations, CAST(sum(failure) AS BIGINT) AS failures,
                 TRUE AS built_first, FALSE AS built_again FROM t GROUP BY vault_id""",

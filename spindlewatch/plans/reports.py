@@ -1,4 +1,7 @@
-"""The three analyses as four report tables. Input is typed telemetry."""
+"""The three analyses as four report tables.
+
+Input is typed telemetry; its ``data`` column may hold text or, as in extracts, instants.
+"""
 
 from __future__ import annotations
 
@@ -7,7 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spindlewatch.functions import format_day, joined_text, parse_day, parse_instant
+from spindlewatch.functions import day_of, format_day, instant_of, joined_text
 from spindlewatch.operators import QUARTILES, distribution_stats, latest_rows_with_history, sum_by, top_k
 from spindlewatch.schema import REPORT_DAY_PATTERN
 
@@ -27,7 +30,7 @@ def daily_vault_failures(
         # Zeros and NULLs change no sum, and a group of nothing else cannot have
         # a wanted count. The scan skips them, which is nearly all telemetry.
         rows = rows.where(F.col("failure") != 0)
-    daily = rows.select(parse_day("data").alias("data"), "vault_id", "failure")
+    daily = rows.select(day_of(rows), "vault_id", "failure")
     totals = sum_by(daily, ["data", "vault_id"], "failure", "failures_count")
     wanted = totals.where(F.col("failures_count").isin(*counts)).orderBy("data", "vault_id")
     return wanted.withColumn("data", format_day("data", day_pattern))
@@ -78,7 +81,7 @@ def hours_by_cohort(
 
     Exact unless ``accuracy`` asks for the sketch.
     """
-    rows = telemetry.select(parse_instant("data").alias("data"), "serial_number", "failure", measure)
+    rows = telemetry.select(instant_of(telemetry), "serial_number", "failure", measure)
     latest = latest_rows_with_history(rows)
     stats = distribution_stats(latest, measure, "failure", COHORTS, probabilities, accuracy)
     return stats.orderBy(F.desc("failure")).limit(len(COHORTS))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spindlewatch import storage
-from spindlewatch.functions import typed_telemetry
+from spindlewatch.functions import instant_of, typed_telemetry
 from spindlewatch.schema import EXTRACT_COLUMNS
 from spindlewatch.sinks.tables import write_csv, write_parquet
 
@@ -49,7 +49,8 @@ def ingest_extract(
 
     ``columns`` is a list or the name of a report. Every stage is skipped if its
     output is complete; the result tells which stages ran. Both stages only
-    project, so they run without a shuffle.
+    project, so they run without a shuffle. The Parquet extract is typed: dates
+    are parsed here, once, and kept as timestamps without a zone.
     """
     if not storage.exists(spark, raw_csv):
         raise FileNotFoundError(raw_csv)
@@ -59,7 +60,10 @@ def ingest_extract(
         write_csv(read_raw_csv(spark, raw_csv, renames).select(*[F.col(c) for c in wanted]), uri)
 
     def parquet_stage(uri: str) -> None:
-        write_parquet(read_csv(spark, csv_extract), uri)
+        typed = read_csv(spark, csv_extract)
+        if "data" in typed.columns:
+            typed = typed.withColumn("data", instant_of(typed).cast("timestamp_ntz"))
+        write_parquet(typed, uri)
 
     return {
         "csv": build_if_absent(spark, csv_extract, csv_stage),

@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from spindlewatch import __main__ as command
 from spindlewatch import sources, storage
-from spindlewatch.functions import typed_telemetry
+from spindlewatch.functions import parse_instant, typed_telemetry
 from spindlewatch.plans import daily_vault_failures, hours_by_cohort
+from spindlewatch.schema import EXTRACT_COLUMNS
 from spindlewatch.sinks import hashes, write_csv
 
 
@@ -65,8 +66,18 @@ def test_extracts_hold_the_columns_of_their_report(spark, edge, tmp_path, report
     stages = [str(tmp_path / name) for name in ("raw", "csv", "parquet")]
     assert sources.ingest_extract(spark, *stages, report, {"date": "data"}) == {"csv": True, "parquet": True}
     extract = sources.read_parquet(spark, stages[2])
-    assert sorted(values(extract), key=repr) == sorted(values(edge.select(extract.columns)), key=repr)
-    assert set(extract.columns) == set(sources.telemetry.EXTRACT_COLUMNS[report])
+    wanted = edge.withColumn("data", parse_instant("data").cast("timestamp_ntz")).select(extract.columns)
+    assert extract.dtypes == wanted.dtypes
+    assert sorted(values(extract), key=repr) == sorted(values(wanted), key=repr)
+    assert set(extract.columns) == set(EXTRACT_COLUMNS[report])
+
+
+def test_reports_on_extracts_equal_reports_on_text(spark, edge, tmp_path):
+    write_raw(spark, tmp_path / "raw")
+    for report, build in (("daily", daily_vault_failures), ("hours", hours_by_cohort)):
+        stages = [str(tmp_path / name) for name in ("raw", f"{report}.csv", f"{report}.parquet")]
+        sources.ingest_extract(spark, *stages, report, {"date": "data"})
+        assert values(build(sources.read_parquet(spark, stages[2]))) == values(build(edge))
 
 
 def test_complete_stages_are_skipped(spark, tmp_path):

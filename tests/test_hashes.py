@@ -101,6 +101,13 @@ def test_keys_and_reads(spark):
         hashes.scan_keys(table, "query?:*")
 
 
+def test_key_patterns_reach_the_scan_of_the_store(spark, tmp_path):
+    store = str(tmp_path / "cells")
+    hashes.append_batch(cells(spark, [("a", "x", "1")]), store, 1)
+    keys = hashes.scan_keys(hashes.read_store(spark, store), "query1:*")
+    assert "StringStartsWith(key,query1:)" in keys._jdf.queryExecution().executedPlan().toString()
+
+
 def test_panels_merge_by_name(spark):
     left = spark.createDataFrame([("1", "2")], "a string, b string")
     right = spark.createDataFrame([("3",)], "b string")
