@@ -6,7 +6,7 @@ import argparse
 from collections.abc import Callable, Sequence
 
 from spindlewatch import jobs, sources
-from spindlewatch.session import build_session
+from spindlewatch.session import build_session, size_session
 
 
 def redis_client(address: str) -> Callable[[], object]:
@@ -54,6 +54,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
         csv_extract = f"{options.work.rstrip('/')}/{options.report}.csv"
         renames = dict(pair.split("=", 1) for pair in options.rename)
         sources.ingest_extract(spark, options.raw, csv_extract, source, options.report, renames)
+    size_session(spark, source)
     telemetry = sources.read_parquet(spark, source)
     outputs = jobs.Outputs(
         folders=options.out,

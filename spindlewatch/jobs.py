@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
@@ -22,53 +22,75 @@ class Outputs:
     key-value store inside the tasks. ``preview`` is called with each result.
     """
 
-    folders: Sequence[str] = field(default_factory=tuple)
+    folders: Sequence[str] = ()
     store: str | None = None
     batch: int = 1
     connect: Callable[[], object] | None = None
     preview: Callable[[DataFrame], None] | None = None
 
 
+@dataclass
+class Result:
+    """A report, its name, and how it becomes a CSV table and cells."""
+
+    name: str
+    report: DataFrame
+    to_table: Callable[[DataFrame], DataFrame]
+    to_cells: Callable[[DataFrame], DataFrame]
+
+
 def run_daily(telemetry: DataFrame, outputs: Outputs, counts: Sequence[int] = (2, 3, 4)) -> None:
     """Daily vault failures. Rows without a day or vault have no hash key and go to CSV only."""
-    report = daily_vault_failures(telemetry, counts)
-    keyed = lambda df: hashes.to_cells(hashes.daily_hashes(df.where(not_null(["data", "vault_id"]))))
-    _deliver([(report, "daily", None, keyed)], outputs)
+
+    def cells(report: DataFrame) -> DataFrame:
+        return hashes.to_cells(hashes.daily_hashes(report.where(not_null(["data", "vault_id"]))))
+
+    _deliver(outputs, [Result("daily", daily_vault_failures(telemetry, counts), _unchanged, cells)])
 
 
 def run_rankings(telemetry: DataFrame, outputs: Outputs, k: int = 10) -> None:
     """Model and vault rankings."""
-    listed = rank_vaults(telemetry, k)
-    text = lambda df: df.withColumn("unique_models", joined_text("unique_models"))
-    keyed = lambda df: hashes.to_cells(hashes.vault_hashes(df))
-    _deliver(
-        [(top_models(telemetry, k), "models", None, hashes.model_cells), (listed, "vaults", text, keyed)], outputs
-    )
+
+    def table(ranking: DataFrame) -> DataFrame:
+        return ranking.withColumn("unique_models", joined_text("unique_models"))
+
+    def cells(ranking: DataFrame) -> DataFrame:
+        return hashes.to_cells(hashes.vault_hashes(ranking))
+
+    models = Result("models", top_models(telemetry, k), _unchanged, hashes.model_cells)
+    _deliver(outputs, [models, Result("vaults", rank_vaults(telemetry, k), table, cells)])
 
 
 def run_hours(telemetry: DataFrame, outputs: Outputs, accuracy: int | None = None) -> None:
     """Power-on hours of failed and other drives, as one CSV file."""
+
+    def cells(report: DataFrame) -> DataFrame:
+        return hashes.to_cells(hashes.cohort_hashes(report))
+
     report = hours_by_cohort(telemetry, accuracy=accuracy)
-    keyed = lambda df: hashes.to_cells(hashes.cohort_hashes(df))
-    _deliver([(report, "hours", None, keyed)], outputs, single_file=True)
+    _deliver(outputs, [Result("hours", report, _unchanged, cells)], single_file=True)
+
+
+def _unchanged(report: DataFrame) -> DataFrame:
+    return report
 
 
-def _deliver(results, outputs: Outputs, single_file: bool = False) -> None:
+def _deliver(outputs: Outputs, results: Sequence[Result], single_file: bool = False) -> None:
     """Compute every result once, then preview, write and store it."""
-    kept = [result.persist(StorageLevel.MEMORY_AND_DISK) for result, *_ in results]
+    for result in results:
+        result.report.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        cells = None
-        for (result, name, flatten, keyed) in results:
+        for result in results:
             if outputs.preview:
-                outputs.preview(result)
+                outputs.preview(result.report)
             if outputs.folders:
-                table = flatten(result) if flatten else result
-                write_csv(table, *[f"{folder.rstrip('/')}/{name}" for folder in outputs.folders], single_file=single_file)
-            cells = keyed(result) if cells is None else cells.unionByName(keyed(result))
+                targets = [f"{folder.rstrip('/')}/{result.name}" for folder in outputs.folders]
+                write_csv(result.to_table(result.report), *targets, single_file=single_file)
+        cells = hashes.merge_panels(*[result.to_cells(result.report) for result in results])
         if outputs.store:
             hashes.append_batch(cells, outputs.store, outputs.batch)
         if outputs.connect:
             hashes.write_cells(cells, outputs.connect)
     finally:
-        for result in kept:
-            result.unpersist()
+        for result in results:
+            result.report.unpersist()

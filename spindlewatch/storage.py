@@ -15,6 +15,12 @@ def exists(spark: SparkSession, uri: str) -> bool:
     return file_system.exists(path)
 
 
+def size_of(spark: SparkSession, uri: str) -> int:
+    """Bytes of all files below ``uri``."""
+    file_system, path = _resolve(spark, uri)
+    return file_system.getContentSummary(path).getLength()
+
+
 def committed(spark: SparkSession, uri: str) -> bool:
     """True if a Spark job finished writing ``uri``. A half-written folder has no marker."""
     return exists(spark, f"{uri.rstrip('/')}/_SUCCESS")
