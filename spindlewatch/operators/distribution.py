@@ -13,6 +13,9 @@ QUARTILES = (0.25, 0.50, 0.75)
 # Largest number of (group, probability) rows that is broadcast.
 BROADCAST_ROWS = 10_000
 
+# Most buckets of a histogram. With a billion distinct values, half a million per bucket.
+BUCKETS = 2_000
+
 
 def percentile_name(probability: float) -> str:
     return f"{probability * 100:g}th_percentile"
@@ -73,13 +76,14 @@ def _exact_stats(
 
     Rows become a histogram (combined before its shuffle, so repeated values
     cannot make a hot partition) which is range partitioned by value. Every
-    partition is one bucket of the histogram; there are as many buckets as
-    partitions, and a running total over them tells in which bucket each wanted
-    rank lies. Only that bucket, one partition's worth of distinct values, is
-    then ranked value by value.
+    partition is one bucket, and a running total over the buckets tells in which
+    one each wanted rank lies. Only the distinct values of that bucket are then
+    ranked one by one. The number of partitions is given, so that they are not
+    merged at run time and buckets stay small.
     """
+    partitions = min(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), BUCKETS)
     histogram = rows.where(F.col("_value").isNotNull()).groupBy("_group", "_value").agg(F.count("*").alias("_n"))
-    ranged = histogram.repartitionByRange("_group", "_value")
+    ranged = histogram.repartitionByRange(partitions, "_group", "_value")
     buckets = ranged.groupBy(F.spark_partition_id().alias("_bucket"), "_group").agg(
         F.min("_value").alias("_low"), F.max("_value").alias("_high"), F.sum("_n").alias("_n")
     )
