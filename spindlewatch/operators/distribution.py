@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -100,7 +101,9 @@ def _exact_stats(
         F.max("_high").over(whole).alias("_max"),
         F.sum("_n").over(whole).alias("_total"),
     )
-    ranks = F.array(*[F.greatest(F.lit(1), F.ceil(F.lit(p) * F.col("_total"))) for p in probabilities])
+    # Decimal, as 0.1 * 30 in floating point lies above 3.
+    shares = [F.ceil(F.lit(Decimal(str(p))) * F.col("_total")).cast("bigint") for p in probabilities]
+    ranks = F.array(*[F.greatest(F.lit(1).cast("bigint"), share) for share in shares])
     wanted = located.select("*", F.posexplode(ranks).alias("_which", "_rank")).where(
         (F.col("_before") < F.col("_rank")) & (F.col("_rank") <= F.col("_through"))
     )

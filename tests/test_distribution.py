@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import random
+from fractions import Fraction
 
 import pytest
 from conftest import values
@@ -28,7 +29,7 @@ def brute(numbers, probabilities=QUARTILES):
     known = sorted(n for n in numbers if n is not None)
     if not known:
         return (None,) * (len(probabilities) + 2) + (0,)
-    picked = [known[max(1, math.ceil(p * len(known))) - 1] for p in probabilities]
+    picked = [known[max(1, math.ceil(Fraction(str(p)) * len(known))) - 1] for p in probabilities]
     return (known[0], *picked, known[-1], len(known))
 
 
@@ -70,6 +71,11 @@ def test_exact_percentiles_of_any_list(spark, numbers, probabilities):
     assert values(distribution_stats(df, "v", probabilities=probabilities)) == [brute(numbers, probabilities)]
 
 
+def test_ranks_are_not_rounded_up_by_floating_point(spark):
+    df = frame(spark, [(0, float(n)) for n in range(1, 31)])
+    assert values(distribution_stats(df, "v", probabilities=(0.1, 0.7))) == [(1.0, 3.0, 21.0, 30.0, 30)]
+
+
 def test_groups_limit_the_result(spark):
     df = frame(spark, [(0, 1.0), (2, 2.0), (None, 3.0)])
     for accuracy in (None, 100):

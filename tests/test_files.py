@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from spindlewatch import __main__ as command
 from spindlewatch import sources, storage
 from spindlewatch.functions import parse_instant, typed_telemetry
-from spindlewatch.plans import daily_vault_failures, hours_by_cohort
+from spindlewatch.plans import daily_vault_failures, hours_by_cohort, top_vaults
 from spindlewatch.schema import EXTRACT_COLUMNS
 from spindlewatch.sinks import hashes, write_csv
 
@@ -50,6 +50,14 @@ def test_csv_copies_are_equal_and_replaced(spark, tmp_path):
     assert not report.is_cached
 
 
+def test_model_lists_are_quoted(spark, tmp_path):
+    rows = [(day(4), "A", m, 1053, 1, "1") for m in ("TOSHIBA MQ01ABF050M", "ST8000NM0055", "ST8000NM0055")]
+    write_csv(top_vaults(typed_telemetry(telemetry(spark, rows))), str(tmp_path / "vaults"), single_file=True)
+    assert parts(tmp_path / "vaults")[0].read_text() == (
+        'vault_id,total_failures,unique_models\n1053,3,"ST8000NM0055,TOSHIBA MQ01ABF050M"\n'
+    )
+
+
 def test_single_file_keeps_order_and_number_format(spark, edge, tmp_path):
     write_csv(hours_by_cohort(edge), str(tmp_path / "hours"), single_file=True)
     assert len(parts(tmp_path / "hours")) == 1
@@ -131,6 +139,22 @@ def test_scratch_is_below_the_shared_folder(spark):
     assert one != two and one.startswith(shared) and two.startswith(shared)
 
 
+class Unshared:
+    """What a cluster session without a shared folder looks like to the storage module."""
+
+    class conf:
+        get = staticmethod(lambda name, default=None: default)
+
+    class sparkContext:
+        master = "spark://cluster:7077"
+        getCheckpointDir = staticmethod(lambda: None)
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        storage.scratch_folder(Unshared, "x")
+
+
 @pytest.fixture
 def run(monkeypatch, spark):
     """The command line inside the test session."""
