@@ -12,13 +12,21 @@ from pyspark.sql import functions as F
 
 from spindlewatch.schema import OBSERVED_PATTERN, TELEMETRY
 
+# The columns used, so that no job has to infer them.
+LINEITEM = (
+    "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_extendedprice double, "
+    "l_returnflag string, l_shipdate timestamp_ntz"
+)
+PART = "p_partkey bigint, p_name string"
+EVENTS = "ts timestamp_ntz, user_id bigint, event_type string"
+
 
 def load_telemetry(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     """The raw table: dates and hours as text. Parts are joined only if ``model`` is asked for."""
     wanted = columns or tuple(TELEMETRY.fieldNames())
-    rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    rows = spark.read.schema(LINEITEM).parquet(f"{sf_dir}/lineitem.parquet")
     if "model" in wanted:
-        parts = spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", "p_name")
+        parts = spark.read.schema(PART).parquet(f"{sf_dir}/part.parquet")
         rows = rows.join(parts, rows["l_partkey"] == parts["p_partkey"], "left_outer")
     expressions = {
         "data": lambda: F.date_format("l_shipdate", OBSERVED_PATTERN),
@@ -33,7 +41,7 @@ def load_telemetry(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame
 
 def load_error_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as telemetry of few, busy vaults: a user stands for a vault, an error for a failure."""
-    return spark.read.parquet(f"{sf_dir}/events.parquet").select(
+    return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet").select(
         F.date_format("ts", OBSERVED_PATTERN).alias("data"),
         F.col("user_id").cast("int").alias("vault_id"),
         F.when(F.col("event_type").eqNullSafe("error"), 1).otherwise(0).alias("failure"),
