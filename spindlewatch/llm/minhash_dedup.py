@@ -43,20 +43,22 @@ def shingle_sets(texts: list[bytes], size: int) -> list[np.ndarray]:
     return out
 
 
-def half_keys(shingles: np.ndarray, keys: int, rows: int, seeds: np.ndarray) -> np.ndarray:
-    """Keys of both collections, A then B; each one hashes ``rows`` minima and its own number."""
-    minima = np.empty(len(seeds), np.uint64)
-    for i, seed in enumerate(seeds):
-        # Odd multiples permute 64-bit values; the shingle hashes are mixed already.
-        minima[i] = (shingles * seed ^ (seed >> np.uint64(17))).min()
-    return mix(sequences_of_rows(minima.reshape(2 * keys, rows)) + np.arange(2 * keys, dtype=np.uint64))
-
-
-def sequences_of_rows(rows: np.ndarray) -> np.ndarray:
-    out = np.zeros(len(rows), np.uint64)
-    for column in rows.T:
-        out = mix(out * np.uint64(3) + column)
-    return out
+def half_keys(sets: list[np.ndarray], keys: int, rows: int, seeds: np.ndarray) -> np.ndarray:
+    """Keys of both collections, A then B, of each non-empty set; each hashes ``rows`` minima and its own number."""
+    parts = []
+    for low, high in slices([len(s) for s in sets], 1 << 15):  # stays in the processor's cache
+        shingles = np.concatenate(sets[low:high])
+        first = np.cumsum([0, *(len(s) for s in sets[low : high - 1])])
+        minima = np.empty((high - low, len(seeds)), np.uint64)
+        for i, seed in enumerate(seeds):
+            # Odd multiples permute 64-bit values; the shingle hashes are mixed already.
+            minima[:, i] = np.minimum.reduceat(shingles * seed ^ (seed >> np.uint64(17)), first)
+        grouped = minima.reshape(high - low, 2 * keys, rows)
+        hashed = np.broadcast_to(np.arange(2 * keys, dtype=np.uint64), grouped.shape[:2])
+        for row in range(rows):
+            hashed = mix(hashed * np.uint64(3) + grouped[:, :, row])
+        parts.append(hashed)
+    return np.concatenate(parts) if parts else np.zeros((0, 2 * keys), np.uint64)
 
 
 def near_duplicates(
@@ -98,7 +100,8 @@ def near_duplicates(
         "classes",
     )
     single = classes.select("id", F.posexplode("half").alias("no", "half"))
-    shared = single.groupBy("half").agg(F.count("*").alias("texts")).where("texts > 1").select("half")
+    # Tables of keys are kept, because Spark splits a hot key of a join only if no aggregate shares its stage.
+    shared = keep(single.groupBy("half").agg(F.count("*").alias("texts")).where("texts > 1").select("half"), "shared")
     sides = single.join(shared, "half").groupBy("id").agg(
         F.collect_list(F.when(F.col("no") < keys, F.col("half"))).alias("in_a"),
         F.collect_list(F.when(F.col("no") >= keys, F.col("half"))).alias("in_b"),
@@ -107,7 +110,7 @@ def near_duplicates(
     members = keep(crossed.select(F.xxhash64("x", "y").alias("bucket"), "id"), "members")
 
     hubs = members.groupBy("bucket").agg(F.min("id").alias("hub"), F.count("*").alias("texts")).where("texts > 1")
-    starred = keep(members.join(hubs.drop("texts"), "bucket"), "buckets")
+    starred = keep(members.join(keep(hubs.drop("texts"), "hubs"), "bucket"), "buckets")
     wanted = starred.select("id").distinct()
     sets = keep(
         rows_in.join(wanted, "id").dropDuplicates(["id"]).mapInArrow(_shingler(shingle), "id long, shingles array<long>"),
@@ -120,11 +123,13 @@ def near_duplicates(
     labelled = starred.join(found.withColumnRenamed("node", "id"), "id", "left").select(
         "bucket", "id", F.coalesce("component", "id").alias("component")
     )
-    mixed = (
+    labelled = keep(labelled, "labelled")
+    mixed = keep(
         labelled.groupBy("bucket")
         .agg(F.min("component").alias("low"), F.max("component").alias("high"))
         .where("low <> high")
-        .select("bucket")
+        .select("bucket"),
+        "mixed",
     )
     split = keep(labelled.join(mixed, "bucket"), "split")
     other = split.select("bucket", F.col("id").alias("b"), F.col("component").alias("other"))
@@ -159,11 +164,11 @@ def _sketcher(shingle: int, keys: int, rows: int):
     def run(batches):
         seeds = np.random.default_rng(11).integers(1, 1 << 63, 2 * keys * rows, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         for batch in batches:
-            sizes, digests, halves = [], [], []
-            for found in shingle_sets(texts_of(batch), shingle):
-                sizes.append(len(found))
-                digests.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest())
-                halves.append(half_keys(found, keys, rows, seeds).view(np.int64) if len(found) else np.zeros(0, np.int64))
+            found = shingle_sets(texts_of(batch), shingle)
+            sizes = [len(s) for s in found]
+            digests = [hashlib.blake2b(s, digest_size=16).digest() for s in found]
+            own = iter(half_keys([s for s in found if len(s)], keys, rows, seeds).view(np.int64))
+            halves = [next(own) if n else np.zeros(0, np.int64) for n in sizes]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("id"),

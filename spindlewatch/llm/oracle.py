@@ -61,3 +61,25 @@ SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, least(w.doc_id, coalesce(r.low,
        w.doc_id <= coalesce(r.low, w.doc_id) AS kept
 FROM w LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT x, min(y) AS low FROM reach GROUP BY x) r ON r.x = w.doc_id
 """
+
+ORACLE["op9_phrase_dedup"] = f"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') AS ws FROM documents
+), starts AS (
+  SELECT doc_id, unnest(range(1, len(ws) - 18)) AS p FROM w
+), windows AS (
+  SELECT doc_id, p, md5(array_to_string(ws[p:p + 19], ' ')) AS g FROM starts JOIN w USING (doc_id)
+), later AS (
+  SELECT doc_id, p FROM (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id, p) AS k FROM windows) WHERE k > 1
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(p, p + 20)) AS p FROM later
+), words AS (
+  SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS p FROM w
+), kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS text, count(*) AS n
+  FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id
+)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(kept.n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+"""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from spindlewatch.llm import minhash_dedup, oracle, suffix_dedup  # noqa: F401  importing a module registers its query
+from spindlewatch.llm import minhash_dedup, oracle, phrase_dedup, suffix_dedup  # noqa: F401  importing a module registers its query
 from spindlewatch.llm.common import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]

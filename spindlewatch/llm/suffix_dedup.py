@@ -157,8 +157,10 @@ def remove_repeats(
     rows = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).cast("string").alias("text"))
     known = rows.where("id is not null")
     counted = known.mapInArrow(_keys(width, gram), "key long").groupBy("key").agg(F.count("*").alias("times"))
+    # Kept, because Spark splits a hot key of a join only if no aggregate shares the join's stage.
+    repeated = keep(counted.where("times > 1").select("key"), "repeated-keys")
     blocks = known.mapInArrow(_blocks(width, gram), "id long, key long, digest long, start int, windows int, anchor int")
-    again = keep(blocks.join(counted.where("times > 1").select("key"), "key"), "repeated-anchors")
+    again = keep(blocks.join(repeated, "key"), "repeated-anchors")
     different = keep(
         again.groupBy("key", "digest").agg(F.count("*").alias("times"), F.min(F.struct("id", "start", "windows", "anchor")).alias("r")),
         "different-blocks",
