@@ -14,7 +14,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spindlewatch.llm.common import components, keep, query, slices, table, texts_of
@@ -79,10 +79,13 @@ def near_duplicates(
        with equal sets are one class from here on, with its smallest id.
     2. Half keys that only one class has can't form a shared table key and are
        dropped, so most texts form no table key at all.
-    3. In each table every class is compared with the smallest class, on the
-       full sets. Classes that the links found so far leave in different
-       components but in one table are then compared pair by pair, so no
-       candidate link is lost and no group of copies is expanded into pairs.
+    3. Shingles that only one class in the tables has are private to it, the
+       rest are its core. Two texts share no more than the smaller core, which
+       rules out, without looking at pairs, classes with many words of their own.
+    4. In each table every class is compared on the full sets with the class
+       that has the fewest private shingles. Classes that the links found so far
+       leave in different components but in one table are then compared pair by
+       pair, so no candidate link is lost and a group of copies isn't expanded.
 
     Null or empty texts and texts without words have no shingles and are their
     own component. Rows with a null id are returned with a null component and
@@ -109,21 +112,48 @@ def near_duplicates(
     crossed = sides.select("id", F.explode("in_a").alias("x"), "in_b").select("id", "x", F.explode("in_b").alias("y"))
     members = keep(crossed.select(F.xxhash64("x", "y").alias("bucket"), "id"), "members")
 
-    hubs = members.groupBy("bucket").agg(F.min("id").alias("hub"), F.count("*").alias("texts")).where("texts > 1")
-    starred = keep(members.join(keep(hubs.drop("texts"), "hubs"), "bucket"), "buckets")
-    wanted = starred.select("id").distinct()
+    several = members.groupBy("bucket").agg(F.count("*").alias("texts")).where("texts > 1").select("bucket")
+    tables = keep(members.join(keep(several, "several"), "bucket"), "tables")
     sets = keep(
-        rows_in.join(wanted, "id").dropDuplicates(["id"]).mapInArrow(_shingler(shingle), "id long, shingles array<long>"),
+        rows_in.join(tables.select("id").distinct(), "id")
+        .dropDuplicates(["id"])
+        .mapInArrow(_shingler(shingle), "id long, shingles array<long>"),
         "sets",
     )
-    first = starred.where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
+    private = (
+        sets.select("id", F.explode("shingles").alias("shingle"))
+        .groupBy("shingle")
+        .agg(F.count("*").alias("texts"), F.min("id").alias("id"))
+        .where("texts = 1")
+        .groupBy("id")
+        .agg(F.count("*").cast("int").alias("private"))
+    )
+    size = F.size("shingles")
+    facts = keep(
+        sets.select("id", size.alias("n")).join(private, "id", "left").select("id", "n", (F.col("n") - F.coalesce("private", F.lit(0))).alias("core")),
+        "facts",
+    )
+    sized = keep(tables.join(facts, "id"), "sized")
+    least = keep(sized.groupBy("bucket").agg(F.min("n").alias("least")), "least")
+    # The best partner there can be has the size of the core, or the least size in the table.
+    able = F.col("core") * 100 >= (F.col("n") + F.greatest("core", "least") - F.col("core")) * percent
+    fit = keep(sized.join(least, "bucket").where(able).select("bucket", "id", "n", "core"), "fit")
+    hubs = keep(
+        fit.groupBy("bucket")
+        .agg(F.min(F.struct((F.col("n") - F.col("core")).alias("private"), "id", "n", "core")).alias("h"), F.count("*").alias("texts"))
+        .where("texts > 1")
+        .select("bucket", F.col("h.id").alias("hub"), F.col("h.n").alias("hub_n"), F.col("h.core").alias("hub_core")),
+        "hubs",
+    )
+    starred = fit.join(hubs, "bucket").where("id <> hub").where(_may_link("n", "core", "hub_n", "hub_core", percent))
+    first = keep(starred.select(F.least("hub", "id").alias("a"), F.greatest("hub", "id").alias("b")).distinct(), "first")
     links = keep(_linked(first, sets, percent), "near")
     found = keep(components(links), "found")
 
-    labelled = starred.join(found.withColumnRenamed("node", "id"), "id", "left").select(
-        "bucket", "id", F.coalesce("component", "id").alias("component")
+    labelled = keep(
+        fit.join(found.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id")),
+        "labelled",
     )
-    labelled = keep(labelled, "labelled")
     mixed = keep(
         labelled.groupBy("bucket")
         .agg(F.min("component").alias("low"), F.max("component").alias("high"))
@@ -132,15 +162,10 @@ def near_duplicates(
         "mixed",
     )
     split = keep(labelled.join(mixed, "bucket"), "split")
-    other = split.select("bucket", F.col("id").alias("b"), F.col("component").alias("other"))
-    second = (
-        split.withColumnRenamed("id", "a")
-        .join(other, "bucket")
-        .where("a < b and component <> other")
-        .select("a", "b")
-        .distinct()
-        .join(first, ["a", "b"], "left_anti")
-    )
+    left = split.select("bucket", F.col("id").alias("a"), "component", "n", "core")
+    right = split.select("bucket", F.col("id").alias("b"), F.col("component").alias("other"), F.col("n").alias("n_b"), F.col("core").alias("core_b"))
+    apart = (F.col("a") < F.col("b")) & (F.col("component") != F.col("other")) & _may_link("n", "core", "n_b", "core_b", percent)
+    second = left.join(right, "bucket").where(apart).select("a", "b").distinct().join(first, ["a", "b"], "left_anti")
     joined = keep(components(links.unionByName(_linked(second, sets, percent))), "components")
 
     named = (
@@ -191,6 +216,12 @@ def _shingler(shingle: int):
     return run
 
 
+def _may_link(n: str, core: str, other_n: str, other_core: str, percent: int) -> Column:
+    """False only for pairs that can't be links: what both may share is in the core of either."""
+    most = F.least(core, other_core)
+    return most * 100 >= (F.col(n) + F.col(other_n) - most) * percent
+
+
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Those of the pairs (a, b) whose full sets are similar enough."""
     left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("in_a"))
