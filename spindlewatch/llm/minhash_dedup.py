@@ -105,12 +105,16 @@ def near_duplicates(
     single = classes.select("id", F.posexplode("half").alias("no", "half"))
     # Tables of keys are kept, because Spark splits a hot key of a join only if no aggregate shares its stage.
     shared = keep(single.groupBy("half").agg(F.count("*").alias("texts")).where("texts > 1").select("half"), "shared")
+    place = F.struct("no", "half")
     sides = single.join(shared, "half").groupBy("id").agg(
-        F.collect_list(F.when(F.col("no") < keys, F.col("half"))).alias("in_a"),
-        F.collect_list(F.when(F.col("no") >= keys, F.col("half"))).alias("in_b"),
+        F.collect_list(F.when(F.col("no") < keys, place)).alias("in_a"),
+        F.collect_list(F.when(F.col("no") >= keys, place)).alias("in_b"),
     )
     crossed = sides.select("id", F.explode("in_a").alias("x"), "in_b").select("id", "x", F.explode("in_b").alias("y"))
-    members = keep(crossed.select(F.xxhash64("x", "y").alias("bucket"), "id"), "members")
+    members = keep(
+        crossed.select(F.xxhash64("x.half", "y.half").alias("bucket"), "id", F.col("x.no").alias("i"), F.col("y.no").alias("j")),
+        "members",
+    )
 
     several = members.groupBy("bucket").agg(F.count("*").alias("texts")).where("texts > 1").select("bucket")
     tables = keep(members.join(keep(several, "several"), "bucket"), "tables")
@@ -137,7 +141,7 @@ def near_duplicates(
     least = keep(sized.groupBy("bucket").agg(F.min("n").alias("least")), "least")
     # The best partner there can be has the size of the core, or the least size in the table.
     able = F.col("core") * 100 >= (F.col("n") + F.greatest("core", "least") - F.col("core")) * percent
-    fit = keep(sized.join(least, "bucket").where(able).select("bucket", "id", "n", "core"), "fit")
+    fit = keep(sized.join(least, "bucket").where(able).select("bucket", "i", "j", "id", "n", "core"), "fit")
     hubs = keep(
         fit.groupBy("bucket")
         .agg(F.min(F.struct((F.col("n") - F.col("core")).alias("private"), "id", "n", "core")).alias("h"), F.count("*").alias("texts"))
@@ -161,11 +165,23 @@ def near_duplicates(
         .select("bucket"),
         "mixed",
     )
-    split = keep(labelled.join(mixed, "bucket"), "split")
-    left = split.select("bucket", F.col("id").alias("a"), "component", "n", "core")
-    right = split.select("bucket", F.col("id").alias("b"), F.col("component").alias("other"), F.col("n").alias("n_b"), F.col("core").alias("core_b"))
+    split = keep(labelled.join(mixed, "bucket").join(classes.select("id", "half"), "id"), "split")
+    left = split.select("bucket", "i", "j", F.col("id").alias("a"), "component", "n", "core", "half")
+    right = split.select(
+        "bucket",
+        F.col("id").alias("b"),
+        F.col("component").alias("other"),
+        F.col("n").alias("n_b"),
+        F.col("core").alias("core_b"),
+        F.col("half").alias("half_b"),
+    )
     apart = (F.col("a") < F.col("b")) & (F.col("component") != F.col("other")) & _may_link("n", "core", "n_b", "core_b", percent)
-    second = left.join(right, "bucket").where(apart).select("a", "b").distinct().join(first, ["a", "b"], "left_anti")
+    # A pair comes from the first of its tables only.
+    earlier_a = F.expr("exists(zip_with(slice(half, 1, i), slice(half_b, 1, i), (x, y) -> x = y), e -> e)")
+    earlier_b = F.expr(
+        f"exists(zip_with(slice(half, {keys + 1}, j - {keys}), slice(half_b, {keys + 1}, j - {keys}), (x, y) -> x = y), e -> e)"
+    )
+    second = left.join(right, "bucket").where(apart & ~earlier_a & ~earlier_b).select("a", "b").join(first, ["a", "b"], "left_anti")
     joined = keep(components(links.unionByName(_linked(second, sets, percent))), "components")
 
     named = (
