@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from spindlewatch.llm.common import ORACLE
+from spindlewatch.llm.mixing import POWERS, ROUNDS, SEED, TOKEN_SHARE
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -83,3 +84,65 @@ SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(kep
        sha256(coalesce(kept.text, '')) AS kept_sha256
 FROM w LEFT JOIN kept USING (doc_id)
 """
+
+
+def _mixing(powers: dict[str, float], rounds: int, share: float, seed: str) -> str:
+    def part(kept: str) -> str:
+        return f"length(translate(text, '{kept}', '')) / CAST(greatest(length(text), 1) AS DOUBLE)"
+
+    steps = []
+    last = "targets"
+    for i in range(rounds):
+        for name in powers:
+            step = f"r{i}_{name}"
+            steps.append(
+                f"{step} AS (SELECT * REPLACE (CASE WHEN weight > 0 THEN weight * t_{name} / sum(weight) OVER (PARTITION BY {name})"
+                f" ELSE 0 END AS weight) FROM {last})"
+            )
+            last = step
+    margins = ", ".join(f"sum(CAST(tokens AS DOUBLE)) OVER (PARTITION BY {n}) AS m_{n}" for n in powers)
+    firsts = ", ".join(
+        f"CASE WHEN row_number() OVER (PARTITION BY {n} ORDER BY source_cell, lang_cell, topic_cell) = 1 AND m_{n} > 0"
+        f" THEN power(m_{n}, {p}) ELSE 0 END AS f_{n}"
+        for n, p in powers.items()
+    )
+    targets = ", ".join(
+        f"CASE WHEN m_{n} > 0 THEN power(m_{n}, {p}) * sum(CAST(tokens AS DOUBLE)) OVER () / sum(f_{n}) OVER () ELSE 0 END AS t_{n}"
+        for n, p in powers.items()
+    )
+    return f"""
+WITH docs AS (
+  SELECT doc_id, coalesce(source, '') AS source_cell, coalesce(lang, '') AS lang_cell,
+         CASE WHEN text IS NULL OR length(text) = 0 THEN 'empty'
+              WHEN {part('|')} < 0.98 THEN 'table'
+              WHEN {part('#$%&*{}<>=;@')} < 0.95 THEN 'symbols'
+              WHEN {part(UPPER)} < 0.7 THEN 'shouting'
+              WHEN {part(chr(10))} < 0.98 THEN 'lines' ELSE 'prose' END AS topic_cell,
+         CAST(len(regexp_extract_all(coalesce(text, ''), '{WORD}')) AS BIGINT) AS n_tokens
+  FROM documents
+), cells AS (
+  SELECT source_cell, lang_cell, topic_cell, CAST(sum(n_tokens) AS BIGINT) AS tokens FROM docs GROUP BY ALL
+), margins AS (SELECT *, CAST(tokens AS DOUBLE) AS weight, {margins} FROM cells
+), firsts AS (SELECT *, {firsts} FROM margins
+), targets AS (SELECT *, {targets} FROM firsts
+), {', '.join(steps)}, ordered AS (
+  SELECT *, CASE WHEN tokens > 0 THEN weight / tokens END AS ratio FROM {last}
+), known AS (
+  SELECT *, coalesce(sum(tokens) OVER before, 0) AS t_before, coalesce(sum(weight) OVER before, 0) AS w_before,
+         sum(tokens) OVER () AS all_tokens, sum(weight) OVER () AS all_weight
+  FROM ordered
+  WINDOW before AS (ORDER BY ratio DESC NULLS LAST, source_cell, lang_cell, topic_cell ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), scaled AS (
+  SELECT *, CASE WHEN all_weight - w_before > 0 THEN ({share} * all_tokens - t_before) / (all_weight - w_before) END AS scale FROM known
+), chances AS (
+  SELECT source_cell, lang_cell, topic_cell, round(CASE WHEN tokens > 0 THEN coalesce(least(1.0, greatest(0.0,
+           ratio * max(CASE WHEN scale * ratio <= 1 THEN scale END) OVER ())), 1.0) ELSE 1.0 END, 6) AS probability
+  FROM scaled
+)
+SELECT doc_id, source_cell, lang_cell, topic_cell, n_tokens, CAST(probability AS DOUBLE) AS probability,
+       CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':{seed}'), 1, 8) AS BIGINT) / 4294967296.0 < probability AS kept
+FROM docs JOIN chances USING (source_cell, lang_cell, topic_cell)
+"""
+
+
+ORACLE["op1_source_mixing"] = _mixing(POWERS, ROUNDS, TOKEN_SHARE, SEED)

@@ -101,8 +101,13 @@ def suffix_order(data: np.ndarray, prefix: Prefix, place: np.ndarray, segment: n
     return order
 
 
-def repeated_suffixes(data: np.ndarray, place: np.ndarray, segment: np.ndarray, width: int) -> np.ndarray:
-    """True for each item whose first ``width`` bytes another item of its segment has too."""
+def repeated_suffixes(
+    data: np.ndarray, place: np.ndarray, segment: np.ndarray, width: int, spare_first: bool = False
+) -> np.ndarray:
+    """True for each item whose first ``width`` bytes another item of its segment has too.
+
+    With ``spare_first`` the first of equal items stays False.
+    """
     out = np.zeros(len(place), bool)
     by_segment = np.argsort(segment, kind="stable")
     ordered = segment[by_segment]
@@ -120,13 +125,13 @@ def repeated_suffixes(data: np.ndarray, place: np.ndarray, segment: np.ndarray,
     equal = np.ones(len(near), bool)
     for i in range(width):
         equal &= data[x[near] + i] == data[y[near] + i]
-    out[items[near[equal]]] = True
     out[items[near[equal] + 1]] = True
+    if not spare_first:
+        out[items[near[equal]]] = True
     for s in np.unique(segment[items[near[~equal]]]):  # a collision: the bytes decide for this segment
         own = np.flatnonzero(segment == s)
-        content = [data[p : p + width].tobytes() for p in place[own]]
-        counts = pd.Series(content).value_counts()
-        out[own] = [counts[c] > 1 for c in content]
+        content = pd.Series([data[p : p + width].tobytes() for p in place[own]])
+        out[own] = content.duplicated("first" if spare_first else False)
     return out
 
 
@@ -140,6 +145,71 @@ def remove_repeats(
     and all are judged on the input. Null and empty texts have 0 bytes. A row
     with a null id is returned unchanged and isn't compared. A row repeated with
     its id counts as another place, so both lose what they share.
+    """
+    rows = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).cast("string").alias("text"))
+    spans = repeated_spans(rows, width, gram)
+    return rows.join(spans, "id", "left").mapInArrow(
+        _removed(), "id long, n_bytes long, n_removed long, n_spans long, kept binary"
+    ).withColumnRenamed("id", id_column)
+
+
+def cut_repeats(docs: DataFrame, width: int = 400, gram: int | None = None) -> DataFrame:
+    """``docs`` without repeated strings of ``width`` bytes, but for the first place of each.
+
+    The first place is that with the smallest ``doc_id`` and then the smallest
+    offset. Characters are removed whole or stay. ``n_chars`` is counted anew, if
+    there. A row that loses its whole text goes; texts that were empty or null
+    stay, as do rows with a null id.
+    """
+    rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
+    spans = repeated_spans(rows, width, gram, spare_first=True).select(F.col("id").alias("_cut_id"), F.col("spans").alias("_cut_spans"))
+    names = docs.columns
+    joined = docs.join(spans, docs["doc_id"] == spans["_cut_id"], "left").select(*[docs[c] for c in names], "_cut_spans")
+
+    def run(batches):
+        for batch in batches:
+            texts, kept, out = batch.column("text").to_pylist(), [], []
+            for text, spans in zip(batch.column("text").cast(pa.binary()).to_pylist(), batch.column("_cut_spans").to_pylist()):
+                rest = text if text is None or not spans else whole_characters_left(text, [(s["low"], s["high"]) for s in spans])
+                kept.append(not text or bool(rest))
+                out.append(rest)
+            columns = {c: batch.column(c) for c in names}
+            columns["text"] = pa.array(out, pa.binary()).cast(batch.schema.field("text").type)
+            if "n_chars" in columns:
+                counts = [n if a == b else len(b) for n, a, b in zip(columns["n_chars"].to_pylist(), texts, columns["text"].to_pylist())]
+                columns["n_chars"] = pa.array(counts, batch.schema.field("n_chars").type)
+            yield pa.RecordBatch.from_arrays(list(columns.values()), names).filter(pa.array(kept, pa.bool_()))
+
+    return joined.mapInArrow(run, docs.schema)
+
+
+def whole_characters_left(text: bytes, spans: list[tuple[int, int]]) -> bytes:
+    """UTF-8 ``text`` without the characters that lie wholly in the spans' union."""
+    out, at = [], 0
+    for low, high in union(spans):
+        while low < high and text[low] & 0xC0 == 0x80:
+            low += 1
+        while low < high < len(text) and text[high] & 0xC0 == 0x80:
+            high -= 1
+        out.append(text[at:low])
+        at = max(low, high)
+    out.append(text[at:])
+    return b"".join(out)
+
+
+def union(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Spans that touch or overlap joined, in order."""
+    out: list[tuple[int, int]] = []
+    for low, high in sorted(spans):
+        if out and low <= out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], high))
+        else:
+            out.append((low, high))
+    return out
+
+
+def repeated_spans(rows: DataFrame, width: int, gram: int | None = None, spare_first: bool = False) -> DataFrame:
+    """(id, spans): the byte spans of each of ``rows`` (id, text) that repeated strings cover.
 
     1. Anchor hashes that occur once are found by a count and drop out with
        their blocks, which leaves the repeated part of the corpus.
@@ -152,9 +222,7 @@ def remove_repeats(
     A text that repeats one byte has a block per byte; otherwise a block stands
     for about half a window of bytes.
     """
-    spark = docs.sparkSession
     gram = gram or max(1, width // 8)
-    rows = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).cast("string").alias("text"))
     known = rows.where("id is not null")
     counted = known.mapInArrow(_keys(width, gram), "key long").groupBy("key").agg(F.count("*").alias("times"))
     # Kept, because Spark splits a hot key of a join only if no aggregate shares the join's stage.
@@ -167,7 +235,7 @@ def remove_repeats(
     )
     several = different.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     compared = keep(
-        different.join(several, "key")
+        different.join(keep(several, "several"), "key")
         .select("key", "digest", "n", "r.*")
         .groupBy("id")
         .agg(F.collect_list(F.struct("key", "digest", "n", "start", "windows", "anchor")).alias("blocks")),
@@ -180,15 +248,14 @@ def remove_repeats(
     total = cut.agg(F.sum(F.length("bytes") + 64 * F.col("windows"))).first()[0] or 0
     groups = max(1, -(-int(total) // GROUP_BYTES))
     sorted_ = cut.groupBy(F.pmod(F.col("key"), F.lit(groups)).alias("group")).applyInPandas(
-        _sorter(width), "id long, low long, high long"
-    )
-    equal = again.join(different.where("times > 1").select("key", "digest"), ["key", "digest"]).select(
-        "id", F.col("start").cast("long").alias("low"), (F.col("start") + F.col("windows") + F.lit(width - 1)).cast("long").alias("high")
+        _sorter(width, spare_first), "id long, low long, high long"
     )
-    spans = keep(equal.unionByName(sorted_).groupBy("id").agg(F.collect_set(F.struct("low", "high")).alias("spans")), "spans")
-    return rows.join(spans, "id", "left").mapInArrow(
-        _removed(), "id long, n_bytes long, n_removed long, n_spans long, kept binary"
-    ).withColumnRenamed("id", id_column)
+    doubled = different.where("times > 1").select("key", "digest", F.col("r.id").alias("first_id"), F.col("r.start").alias("first_start"))
+    equal = again.join(keep(doubled, "doubled"), ["key", "digest"])
+    if spare_first:
+        equal = equal.where("id <> first_id or start <> first_start")
+    equal = equal.select("id", F.col("start").cast("long").alias("low"), (F.col("start") + F.col("windows") + F.lit(width - 1)).cast("long").alias("high"))
+    return keep(equal.unionByName(sorted_).groupBy("id").agg(F.collect_set(F.struct("low", "high")).alias("spans")), "spans")
 
 
 def _keys(width: int, gram: int):
@@ -262,8 +329,9 @@ def _rows(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
 
-def _sorter(width: int):
+def _sorter(width: int, spare_first: bool):
     def run(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values(["id", "start"], ignore_index=True)
         pieces_ = group["bytes"].tolist()
         data = np.frombuffer(b"".join(pieces_), np.uint8)
         base = np.cumsum([0, *map(len, pieces_[:-1])])
@@ -272,7 +340,7 @@ def _sorter(width: int):
         nth = np.arange(len(item)) - np.repeat(np.cumsum(windows) - windows, windows)
         _, key = np.unique(group["key"].to_numpy(), return_inverse=True)
         segment = key[item] * (width + 1) + (group["anchor"].to_numpy(np.int64)[item] - nth)
-        hit = np.flatnonzero(repeated_suffixes(data, base[item] + nth, segment, width))
+        hit = np.flatnonzero(repeated_suffixes(data, base[item] + nth, segment, width, spare_first))
         # Runs of neighbouring windows make one span.
         new = np.ones(len(hit), bool)
         new[1:] = (np.diff(hit) > 1) | (np.diff(item[hit]) != 0)
@@ -295,20 +363,12 @@ def _removed():
             found = batch.column("spans").to_pylist()
             sizes, removed, spans, kept = [], [], [], []
             for text, own in zip(texts, found):
-                left, at, cut = [], 0, 0
-                end = -1
-                for span in sorted((s["low"], s["high"]) for s in own or ()):
-                    if span[0] > end:
-                        left.append(text[at : span[0]])
-                        cut += 1
-                        at = end = span[1]
-                    else:
-                        at = end = max(end, span[1])
-                left.append(text[at:])
-                rest = b"".join(left)
+                gone = union([(s["low"], s["high"]) for s in own or ()])
+                ends = [0, *(high for _, high in gone)]
+                rest = b"".join(text[at:low] for at, low in zip(ends, [*(low for low, _ in gone), len(text)]))
                 sizes.append(len(text))
                 removed.append(len(text) - len(rest))
-                spans.append(cut)
+                spans.append(len(gone))
                 kept.append(rest)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), *(pa.array(c, pa.int64()) for c in (sizes, removed, spans)), pa.array(kept, pa.binary())], names
