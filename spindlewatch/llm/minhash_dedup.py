@@ -195,7 +195,7 @@ def near_duplicates(
         .select(
             F.col("id").alias(id_column),
             F.col("n").alias("n_shingles"),
-            F.coalesce("component", "id").alias("component_id"),
+            F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component_id"),
             (F.col("id").isNull() | (F.col("id") == F.coalesce("component", "id"))).alias("kept"),
         )
     )

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spindlewatch.llm.calibration import calibrated, isotonic
-from spindlewatch.llm.common import fold, query, table
+from spindlewatch.llm.common import fold, keep, query, table
 
 EXAMPLES = 1_500  # labelled texts of each class that are indexed, at most
 TERMS = 256  # index terms, at most: those that mark label 1 most surely
@@ -53,26 +53,12 @@ class BlockMaxIndex:
     labels: np.ndarray
 
     @staticmethod
-    def of(ids: list[int], counts: list[dict[str, int]], labels: list[int]) -> BlockMaxIndex:
-        present = [Counter(), Counter()]
-        for own, label in zip(counts, labels):
-            present[label].update(own.keys())
-        n = np.array([max(1, labels.count(0)), max(1, labels.count(1))])
-        ranked = []
-        for term in set(present[0]) | set(present[1]):
-            clean, toxic = present[0][term], present[1][term]
-            if clean + toxic < 3:
-                continue
-            # Chi square of presence against class, for terms that lean to label 1.
-            share = (clean + toxic) / n.sum()
-            if share < 1 and toxic / n[1] > clean / n[0]:
-                expected = n * share
-                chi = float((((np.array([clean, toxic]) - expected) ** 2) / (expected * (1 - share))).sum())
-                if chi >= SURE:
-                    ranked.append((-chi, term))
-        terms = [term for _, term in sorted(ranked)[:TERMS]]
+    def of(
+        ids: list[int], counts: list[dict[str, int]], labels: list[int], terms: list[str], texts_with: list[int]
+    ) -> BlockMaxIndex:
+        """``texts_with``: how many of the examples hold each of the terms."""
         vocabulary = {t: i for i, t in enumerate(terms)}
-        idf = np.array([np.log(1 + n.sum() / (1 + present[0][t] + present[1][t])) for t in terms])
+        idf = np.array([np.log(1 + len(ids) / (1 + n)) for n in texts_with])
         blocks = -(-len(ids) // BLOCK)
         maxima = np.zeros((len(terms), blocks))
         lists: list[list] = [[([], []) for _ in range(blocks)] for _ in terms]
@@ -136,10 +122,31 @@ def examples(docs: DataFrame, labels: DataFrame, label: str, most: int = EXAMPLE
     return texts.join(F.broadcast(ids), "id").groupBy("id").agg(F.min("text").alias("text"), F.max("label").alias("label"))
 
 
+def marking_terms(counted: DataFrame) -> DataFrame:
+    """(term, n): the terms, ``TERMS`` at most, whose presence marks label 1, by chi square, and their texts' number."""
+    clean, toxic = counted.agg(F.count_if(F.col("label") == 0), F.count_if(F.col("label") == 1)).first()
+    total = clean + toxic
+    found = (
+        counted.select("label", F.explode(F.map_keys("terms")).alias("term"))
+        .groupBy("term")
+        .agg(F.count("*").alias("n"), F.sum("label").alias("hits"))
+        .where(f"n >= 3 and n < {total} and hits / {max(1, toxic)} > (n - hits) / {max(1, clean)}")
+    )
+    share = F.col("n") / F.lit(max(1, total))
+    off = F.pow(F.col("hits") - share * toxic, F.lit(2))  # the same for both classes
+    chi = off / (share * (1 - share)) * (1 / max(1, clean) + 1 / max(1, toxic))
+    return found.withColumn("chi", chi).where(F.col("chi") >= SURE).orderBy(F.desc("chi"), "term").limit(TERMS).select("term", "n")
+
+
 def fitted(docs: DataFrame, labels: DataFrame) -> tuple[BlockMaxIndex, tuple[np.ndarray, np.ndarray]]:
     """The index of the drawn examples and the calibration of its votes."""
-    rows = examples(docs, labels, "toxic").orderBy("id").mapInArrow(_counted, "id long, label int, terms map<string,int>").collect()
-    index = BlockMaxIndex.of([r.id for r in rows], [r.terms for r in rows], [r.label for r in rows])
+    counted = keep(examples(docs, labels, "toxic").mapInArrow(_counted, "id long, label int, terms map<string,int>"), "examples")
+    terms = marking_terms(counted).collect()
+    chosen = F.map_filter("terms", lambda term, _: term.isin([t.term for t in terms])) if terms else F.map_filter("terms", lambda *_: F.lit(False))
+    rows = counted.select("id", "label", chosen.alias("terms")).orderBy("id").collect()
+    index = BlockMaxIndex.of(
+        [r.id for r in rows], [r.terms for r in rows], [r.label for r in rows], [t.term for t in terms], [t.n for t in terms]
+    )
     if not rows:
         return index, (np.zeros(1), np.zeros(1))
     raw = np.array([index.vote(index.nearest(r.terms, without=i)) for i, r in enumerate(rows)])
