@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,6 +45,14 @@ def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:
     return [value or b"" for value in batch.column(column).cast(pa.binary()).to_pylist()]
 
 
+def small(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most ``most`` bytes of text, one row at least, which bounds a task's memory."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
+        for low, high in slices(sizes, most):
+            yield batch.slice(low, high - low)
+
+
 def slices(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
     """Ranges [from, to) of consecutive items with at most ``most`` in sum, one item at least."""
     start, total = 0, 0

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spindlewatch.llm.common import keep, query, slices, table, texts_of
+from spindlewatch.llm.common import keep, query, slices, small, table, texts_of
 from spindlewatch.llm.hashing import Words, sequences
 
 LEAST = 5
@@ -128,7 +128,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def _item_seeds(least: int):
     def run(batches):
-        for batch in batches:
+        for batch in small(batches):
             for item, text in zip(batch.column("item_id").to_pylist(), texts_of(batch)):
                 words = word_hashes(text)
                 runs = sequences(words, least)
@@ -146,7 +146,7 @@ def _doc_seeds(least: int, chunks: dict[int, bytes]):
         bits = np.zeros(FILTER_BITS, bool)
         for no, chunk in chunks.items():  # each holds 32,768 positions
             bits[(no - 1) * 32768 : no * 32768] = np.unpackbits(np.frombuffer(chunk, np.uint8), bitorder="little")
-        for batch in batches:
+        for batch in small(batches):
             texts = texts_of(batch)
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
             for low, high in slices([len(t) for t in texts], 1 << 20):
@@ -163,7 +163,7 @@ def _doc_seeds(least: int, chunks: dict[int, bytes]):
 
 def _tiled(least: int):
     def run(batches):
-        for batch in batches:
+        for batch in small(batches):
             share, count = [], []
             for item, text in zip(texts_of(batch, "item"), texts_of(batch)):
                 words = word_hashes(item)

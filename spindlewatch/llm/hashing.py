@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import numpy as np
 
 _BASE = 0x9E3779B97F4A7C15
@@ -27,11 +25,16 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-@lru_cache(maxsize=8)
+_kept: dict[int, np.ndarray] = {}
+
+
 def _powers(n: int, base: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
+    """The first powers of ``base``, n at least; one table of each base is kept."""
+    if len(_kept.get(base, ())) < n:
+        out = np.full(n, base, np.uint64)
+        out[0] = 1
+        _kept[base] = np.multiply.accumulate(out)
+    return _kept[base]
 
 
 def _sized(n: int) -> int:

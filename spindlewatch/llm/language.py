@@ -13,7 +13,7 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from spindlewatch.llm.common import fold, query, slices, table, texts_of
+from spindlewatch.llm.common import fold, query, slices, small, table, texts_of
 
 HIDDEN = 8
 CHUNK = 128
@@ -172,7 +172,7 @@ def fitted(docs: DataFrame) -> tuple[list[str], Network | None]:
 
 
 def _chunked(batches):
-    for batch in batches:
+    for batch in small(batches):
         out = []
         for identity, lang, text in zip(batch.column("doc_id").to_pylist(), batch.column("lang").to_pylist(), texts_of(batch)):
             last = len(text) - TRAIN_CHUNK
@@ -194,7 +194,7 @@ def predict_language(docs: DataFrame) -> DataFrame:
     languages, network = fitted(docs)
 
     def run(batches):
-        for batch in batches:
+        for batch in small(batches):
             texts = batch.column("text").to_pylist()
             raw = texts_of(batch)
             lettered = [t is not None and network is not None and bool(_LETTER.search(t)) for t in texts]

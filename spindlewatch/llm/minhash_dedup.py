@@ -17,10 +17,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spindlewatch.llm.common import components, keep, query, slices, table, texts_of
+from spindlewatch.llm.common import components, keep, query, slices, small, table, texts_of
 from spindlewatch.llm.hashing import Words, mix, sequences
 
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 20
 
 
 def shingle_sets(texts: list[bytes], size: int) -> list[np.ndarray]:
@@ -204,7 +204,7 @@ def near_duplicates(
 def _sketcher(shingle: int, keys: int, rows: int):
     def run(batches):
         seeds = np.random.default_rng(11).integers(1, 1 << 63, 2 * keys * rows, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-        for batch in batches:
+        for batch in small(batches):
             found = shingle_sets(texts_of(batch), shingle)
             sizes = [len(s) for s in found]
             digests = [hashlib.blake2b(s, digest_size=16).digest() for s in found]
@@ -225,7 +225,7 @@ def _sketcher(shingle: int, keys: int, rows: int):
 
 def _shingler(shingle: int):
     def run(batches):
-        for batch in batches:
+        for batch in small(batches):
             found = [s.view(np.int64) for s in shingle_sets(texts_of(batch), shingle)]
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(found, pa.list_(pa.int64()))], ["id", "shingles"])
 

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spindlewatch.llm.blocks import PIECE, Blocks, parts_of
-from spindlewatch.llm.common import keep, query, slices, table, texts_of
+from spindlewatch.llm.common import keep, query, slices, small, table, texts_of
 from spindlewatch.llm.hashing import Words, sequences
 
 # Bytes of passages that one automaton is compiled from.
@@ -99,7 +99,7 @@ def remove_repeated_passages(
 
 def _keys(width: int, gram: int):
     def run(batches):
-        for batch in batches:
+        for batch in small(batches):
             for _, blocks, _, _ in blocks_in(texts_of(batch), width, gram):
                 yield pa.RecordBatch.from_arrays([pa.array(blocks.key.view(np.int64))], ["key"])
 
@@ -108,7 +108,7 @@ def _keys(width: int, gram: int):
 
 def _blocks(width: int, gram: int):
     def run(batches):
-        for batch in batches:
+        for batch in small(batches):
             ids = batch.column("id").to_numpy(zero_copy_only=False)
             for words, blocks, text, start in blocks_in(texts_of(batch), width, gram):
                 whole = memoryview(words.data)
@@ -137,7 +137,7 @@ def _cut(width: int):
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["key", "id", "start", "windows", "bytes"])
 
     def run(batches):
-        for batch in batches:
+        for batch in small(batches):
             out, held = [], 0
             for identity, text, blocks in zip(batch.column("id").to_pylist(), texts_of(batch), batch.column("blocks").to_pylist()):
                 words = Words([text])
@@ -219,7 +219,7 @@ def _locator(width: int):
 
 def _removed():
     def run(batches):
-        for batch in batches:
+        for batch in small(batches):
             totals, removed, kept = [], [], []
             for text, own in zip(texts_of(batch), batch.column("spans").to_pylist()):
                 words = Words([text])

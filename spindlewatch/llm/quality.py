@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spindlewatch.llm.calibration import calibrated, isotonic
-from spindlewatch.llm.common import fold, keep, query, slices, table, texts_of
+from spindlewatch.llm.common import fold, keep, query, slices, small, table, texts_of
 from spindlewatch.llm.hashing import Words
 
 FEATURES = 256
@@ -145,7 +145,7 @@ def score_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def _measure(batches):
     kind = pa.list_(pa.float64())
-    for batch in batches:
+    for batch in small(batches):
         found = statistics_of(texts_of(batch))
         yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(list(found), kind)], ["id", "x"])
 

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spindlewatch.llm.blocks import PIECE, Blocks, parts_of, pieces
-from spindlewatch.llm.common import keep, query, slices, table, texts_of
+from spindlewatch.llm.common import keep, query, slices, small, table, texts_of
 from spindlewatch.llm.hashing import Prefix
 
 GROUP_BYTES = 8 << 20
@@ -167,7 +167,7 @@ def cut_repeats(docs: DataFrame, width: int = 400, gram: int | None = None) -> D
     joined = docs.join(spans, docs["doc_id"] == spans["_cut_id"], "left").select(*[docs[c] for c in names], "_cut_spans")
 
     def run(batches):
-        for batch in batches:
+        for batch in small(batches):
             texts, kept, out = batch.column("text").to_pylist(), [], []
             for text, spans in zip(batch.column("text").cast(pa.binary()).to_pylist(), batch.column("_cut_spans").to_pylist()):
                 rest = text if text is None or not spans else whole_characters_left(text, [(s["low"], s["high"]) for s in spans])
@@ -260,7 +260,7 @@ def repeated_spans(rows: DataFrame, width: int, gram: int | None = None, spare_f
 
 def _keys(width: int, gram: int):
     def run(batches):
-        for batch in batches:
+        for batch in small(batches):
             for _, blocks, _, _ in blocks_in(texts_of(batch), width, gram):
                 yield pa.RecordBatch.from_arrays([pa.array(blocks.key.view(np.int64))], ["key"])
 
@@ -269,7 +269,7 @@ def _keys(width: int, gram: int):
 
 def _blocks(width: int, gram: int):
     def run(batches):
-        for batch in batches:
+        for batch in small(batches):
             ids = batch.column("id").to_numpy(zero_copy_only=False)
             for data, blocks, text, start in blocks_in(texts_of(batch), width, gram):
                 yield pa.RecordBatch.from_arrays(
@@ -291,7 +291,7 @@ def _cut(width: int):
     names = ["key", "id", "start", "windows", "anchor", "bytes"]
 
     def run(batches):
-        for batch in batches:
+        for batch in small(batches):
             out, held = [], 0
             for identity, text, blocks in zip(batch.column("id").to_pylist(), texts_of(batch), batch.column("blocks").to_pylist()):
                 for b in blocks:
@@ -358,7 +358,7 @@ def _removed():
     names = ["id", "n_bytes", "n_removed", "n_spans", "kept"]
 
     def run(batches):
-        for batch in batches:
+        for batch in small(batches):
             texts = texts_of(batch)
             found = batch.column("spans").to_pylist()
             sizes, removed, spans, kept = [], [], [], []

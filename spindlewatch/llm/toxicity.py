@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spindlewatch.llm.calibration import calibrated, isotonic
-from spindlewatch.llm.common import fold, keep, query, table
+from spindlewatch.llm.common import fold, keep, query, small, table
 
 EXAMPLES = 1_500  # labelled texts of each class that are indexed, at most
 TERMS = 256  # index terms, at most: those that mark label 1 most surely
@@ -159,7 +159,7 @@ def fitted(docs: DataFrame, labels: DataFrame) -> tuple[BlockMaxIndex, tuple[np.
 
 
 def _counted(batches):
-    for batch in batches:
+    for batch in small(batches):
         counts = [list(terms_of(t).items()) for t in batch.column("text").to_pylist()]
         yield pa.RecordBatch.from_arrays(
             [batch.column("id"), batch.column("label"), pa.array(counts, pa.map_(pa.string(), pa.int32()))], ["id", "label", "terms"]
@@ -180,7 +180,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     index, knots = fitted(docs, labels)
 
     def run(batches):
-        for batch in batches:
+        for batch in small(batches):
             scores, near_ids, evidence = [], [], []
             for text in batch.column("text").to_pylist():
                 counts = terms_of(text)
@@ -201,7 +201,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> Da
     index, knots = fitted(docs, labels)
 
     def run(batches):
-        for batch in batches:
+        for batch in small(batches):
             votes = np.array([index.vote(index.nearest(terms_of(t))) for t in batch.column("text").to_pylist()])
             yield batch.filter(pa.array(calibrated(votes, knots) < threshold))
 
