@@ -33,7 +33,7 @@ def parse(arguments: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--rename", action="append", default=[], metavar="OLD=NEW", help="rename a raw column")
     parser.add_argument("--out", action="append", default=[], help="folder for CSV results; may be repeated")
     parser.add_argument("--store", help="folder of the cell table")
-    parser.add_argument("--batch", type=int, default=1, help="batch number in the cell table")
+    parser.add_argument("--batch", type=int, help="batch number in the cell table, to run one again; by default a new one")
     parser.add_argument("--redis", metavar="HOST:PORT", help="also set the hashes in Redis")
     parser.add_argument("--show", action="store_true", help="print the first rows of every result")
     parser.add_argument("--counts", type=int, nargs="+", default=(2, 3, 4), help="daily: wanted failure counts")
@@ -61,7 +61,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
         store=options.store,
         batch=options.batch,
         connect=redis_client(options.redis) if options.redis else None,
-        preview=(lambda df: df.show(20, truncate=False)) if options.show else None,
+        preview=(lambda df: df.show(max(20, options.k), truncate=False)) if options.show else None,
     )
     if options.report == "daily":
         jobs.run_daily(telemetry, outputs, options.counts)

@@ -17,14 +17,15 @@ from spindlewatch.sinks import hashes, write_csv
 class Outputs:
     """Where results go. Every part is optional.
 
-    ``folders`` each get one CSV table per result. ``store`` is the cell table,
-    to which the job appends ``batch``. ``connect`` makes a client of a
+    ``folders`` each get one CSV table per result. ``store`` is the cell table, in
+    which every job has a folder of its own and appends ``batch`` to it, by
+    default the one after the last. ``connect`` makes a client of a
     key-value store inside the tasks. ``preview`` is called with each result.
     """
 
     folders: Sequence[str] = ()
     store: str | None = None
-    batch: int = 1
+    batch: int | None = None
     connect: Callable[[], object] | None = None
     preview: Callable[[DataFrame], None] | None = None
 
@@ -37,15 +38,16 @@ class Result:
     report: DataFrame
     to_table: Callable[[DataFrame], DataFrame]
     to_cells: Callable[[DataFrame], DataFrame]
+    to_hashes: Callable[[DataFrame], DataFrame] | None = None  # unless the hash has a field per row
 
 
 def run_daily(telemetry: DataFrame, outputs: Outputs, counts: Sequence[int] = (2, 3, 4)) -> None:
     """Daily vault failures. Rows without a day or vault have no hash key and go to CSV only."""
 
-    def cells(report: DataFrame) -> DataFrame:
-        return hashes.to_cells(hashes.daily_hashes(report.where(not_null(["data", "vault_id"]))))
+    def named(report: DataFrame) -> DataFrame:
+        return hashes.daily_hashes(report.where(not_null(["data", "vault_id"])))
 
-    _deliver(outputs, [Result("daily", daily_vault_failures(telemetry, counts), _unchanged, cells)])
+    _deliver(outputs, "daily", [_hashed("daily", daily_vault_failures(telemetry, counts), _unchanged, named)])
 
 
 def run_rankings(telemetry: DataFrame, outputs: Outputs, k: int = 10) -> None:
@@ -54,28 +56,26 @@ def run_rankings(telemetry: DataFrame, outputs: Outputs, k: int = 10) -> None:
     def table(ranking: DataFrame) -> DataFrame:
         return ranking.withColumn("unique_models", joined_text("unique_models"))
 
-    def cells(ranking: DataFrame) -> DataFrame:
-        return hashes.to_cells(hashes.vault_hashes(ranking))
-
     models = Result("models", top_models(telemetry, k), _unchanged, hashes.model_cells)
-    _deliver(outputs, [models, Result("vaults", rank_vaults(telemetry, k), table, cells)])
+    _deliver(outputs, "rankings", [models, _hashed("vaults", rank_vaults(telemetry, k), table, hashes.vault_hashes)])
 
 
 def run_hours(telemetry: DataFrame, outputs: Outputs, accuracy: int | None = None) -> None:
     """Power-on hours of failed and other drives, as one CSV file."""
 
-    def cells(report: DataFrame) -> DataFrame:
-        return hashes.to_cells(hashes.cohort_hashes(report))
-
     report = hours_by_cohort(telemetry, accuracy=accuracy)
-    _deliver(outputs, [Result("hours", report, _unchanged, cells)], single_file=True)
+    _deliver(outputs, "hours", [_hashed("hours", report, _unchanged, hashes.cohort_hashes)], single_file=True)
+
+
+def _hashed(name: str, report: DataFrame, to_table, to_hashes) -> Result:
+    return Result(name, report, to_table, lambda rows: hashes.to_cells(to_hashes(rows)), to_hashes)
 
 
 def _unchanged(report: DataFrame) -> DataFrame:
     return report
 
 
-def _deliver(outputs: Outputs, results: Sequence[Result], single_file: bool = False) -> None:
+def _deliver(outputs: Outputs, job: str, results: Sequence[Result], single_file: bool = False) -> None:
     """Compute every result once, then preview, write and store it."""
     for result in results:
         result.report.persist(StorageLevel.MEMORY_AND_DISK)
@@ -86,11 +86,15 @@ def _deliver(outputs: Outputs, results: Sequence[Result], single_file: bool = Fa
             if outputs.folders:
                 targets = [f"{folder.rstrip('/')}/{result.name}" for folder in outputs.folders]
                 write_csv(result.to_table(result.report), *targets, single_file=single_file)
-        cells = hashes.merge_panels(*[result.to_cells(result.report) for result in results])
         if outputs.store:
-            hashes.append_batch(cells, outputs.store, outputs.batch)
+            cells = hashes.merge_panels(*[result.to_cells(result.report) for result in results])
+            hashes.append_batch(cells, f"{outputs.store.rstrip('/')}/report={job}", outputs.batch)
         if outputs.connect:
-            hashes.write_cells(cells, outputs.connect)
+            for result in results:
+                if result.to_hashes:
+                    hashes.write_hashes(result.to_hashes(result.report), outputs.connect)
+                else:
+                    hashes.write_cells(result.to_cells(result.report), outputs.connect)
     finally:
         for result in results:
             result.report.unpersist()

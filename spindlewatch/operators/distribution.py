@@ -14,9 +14,6 @@ QUARTILES = (0.25, 0.50, 0.75)
 # Largest number of (group, probability) rows that is broadcast.
 BROADCAST_ROWS = 10_000
 
-# Most buckets of a histogram. With a billion distinct values, half a million per bucket.
-BUCKETS = 2_000
-
 
 def percentile_name(probability: float) -> str:
     return f"{probability * 100:g}th_percentile"
@@ -82,7 +79,7 @@ def _exact_stats(
     ranked one by one. The number of partitions is given, so that they are not
     merged at run time and buckets stay small.
     """
-    partitions = min(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), BUCKETS)
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     histogram = rows.where(F.col("_value").isNotNull()).groupBy("_group", "_value").agg(F.count("*").alias("_n"))
     ranged = histogram.repartitionByRange(partitions, "_group", "_value")
     buckets = ranged.groupBy(F.spark_partition_id().alias("_bucket"), "_group").agg(

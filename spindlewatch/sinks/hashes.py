@@ -12,6 +12,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spindlewatch import storage
 from spindlewatch.functions import joined_text, key_text
 
 # Keys and field names the dashboard reads.
@@ -89,8 +90,16 @@ def upsert_cells(stored: DataFrame, new: DataFrame) -> DataFrame:
     return current_cells(both)
 
 
-def append_batch(cells: DataFrame, uri: str, batch: int) -> None:
-    """Store one batch of cells as a partition of the table at ``uri``. A rerun replaces its own batch."""
+def append_batch(cells: DataFrame, uri: str, batch: int | None = None) -> None:
+    """Store one batch of cells as a partition of the table at ``uri``.
+
+    Without a number the batch follows the largest one stored, so nothing is
+    lost; a rerun under an explicit number replaces that batch.
+    """
+    if batch is None:
+        names = storage.children(cells.sparkSession, uri)
+        stored = [int(name.removeprefix("batch=")) for name in names if name.startswith("batch=")]
+        batch = max(stored, default=0) + 1
     cells.select("key", "field", "value").write.mode("overwrite").parquet(f"{uri.rstrip('/')}/batch={batch}")
 
 

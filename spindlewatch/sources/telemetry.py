@@ -19,8 +19,11 @@ def read_parquet(spark: SparkSession, uri: str) -> DataFrame:
 
 
 def read_raw_csv(spark: SparkSession, uri: str, renames: Mapping[str, str] | None = None) -> DataFrame:
-    """Columns by header name, all text: no inference pass over the data."""
-    raw = spark.read.option("header", True).csv(uri)
+    """Columns by header name, all text: no inference pass over the data.
+
+    Files whose headers differ are an error. They are never read by position.
+    """
+    raw = spark.read.option("header", True).option("enforceSchema", False).csv(uri)
     return raw.withColumnsRenamed(dict(renames or {}))
 
 

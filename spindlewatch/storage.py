@@ -21,6 +21,12 @@ def size_of(spark: SparkSession, uri: str) -> int:
     return file_system.getContentSummary(path).getLength()
 
 
+def children(spark: SparkSession, uri: str) -> list[str]:
+    """Names directly below ``uri``; none if it does not exist."""
+    file_system, path = _resolve(spark, uri)
+    return [found.getPath().getName() for found in file_system.listStatus(path)] if file_system.exists(path) else []
+
+
 def committed(spark: SparkSession, uri: str) -> bool:
     """True if a Spark job finished writing ``uri``. A half-written folder has no marker."""
     return exists(spark, f"{uri.rstrip('/')}/_SUCCESS")
