@@ -142,7 +142,7 @@ def fitted(docs: DataFrame, labels: DataFrame) -> tuple[BlockMaxIndex, tuple[np.
     """The index of the drawn examples and the calibration of its votes."""
     counted = keep(examples(docs, labels, "toxic").mapInArrow(_counted, "id long, label int, terms map<string,int>"), "examples")
     terms = marking_terms(counted).collect()
-    chosen = F.map_filter("terms", lambda term, _: term.isin([t.term for t in terms])) if terms else F.map_filter("terms", lambda *_: F.lit(False))
+    chosen = F.map_filter("terms", lambda term, _: term.isin([t.term for t in terms])) if terms else F.map_filter("terms", lambda term, _: F.lit(False))
     rows = counted.select("id", "label", chosen.alias("terms")).orderBy("id").collect()
     index = BlockMaxIndex.of(
         [r.id for r in rows], [r.terms for r in rows], [r.label for r in rows], [t.term for t in terms], [t.n for t in terms]
