@@ -10,6 +10,8 @@ import pytest
 from conftest import TABLES, values
 
 import __spark_entry__ as driver
+from spindlewatch.plans.oracle import ORACLE
+from spindlewatch.plans.registry import QUERIES
 
 # The sketch at its default accuracy has no exact twin; its bound is tested elsewhere.
 WITHOUT_TWIN = {"hours_by_cohort_sketch"}
@@ -39,7 +41,7 @@ def test_same_rows_as_sql(spark, tables, database, name):
 
 
 def test_only_the_sketch_lacks_a_twin():
-    assert set(driver.queries()) - set(driver.oracle_sql()) == WITHOUT_TWIN
+    assert set(QUERIES) - set(ORACLE) == WITHOUT_TWIN
 
 
 def test_entry_is_the_daily_report(spark):
