@@ -103,7 +103,8 @@ def mixed(docs: DataFrame) -> DataFrame:
     ids are drawn alike. An empty table gives an empty result.
     """
     # The cell columns have names of their own, whatever else ``docs`` holds.
-    rows = docs.select("doc_id", *_cell(), n_tokens().alias("n_tokens"))
+    # Kept, a few bytes a row, so that texts are measured once for both the cells and the draw.
+    rows = keep(docs.select("doc_id", *_cell(), n_tokens().alias("n_tokens")), "measured")
     drawn = draw() < F.col("probability")
     return _with_probability(rows).select("doc_id", *DIMENSIONS, "n_tokens", "probability", drawn.alias("kept"))
 
