@@ -64,8 +64,40 @@ class Network:
         return out
 
     def probabilities(self, data: np.ndarray) -> np.ndarray:
-        """(time x chunk x languages)."""
-        return self._softmax(np.concatenate([self.states(data, "f"), self.states(data, "b")], axis=2))
+        """(time x languages x chunk), the forward pass of whole texts.
+
+        The chunks are the last axis throughout, so every step works on long
+        contiguous rows; ``states`` keeps the layout that training needs.
+        """
+        n, width = self.hidden, data.shape[1]
+        p = np.empty((len(data), len(self.weights["bias"]), width), np.float32)
+        p[:] = self.weights["bias"][:, None]
+        half = np.repeat(np.float32([0.5, 0.5, 1]), n)  # a gate is 0.5 + 0.5 * tanh(0.5 * x)
+        for k, side in enumerate("fb"):
+            inputs = np.ascontiguousarray(((self.weights[f"x{side}"] + self.weights[f"c{side}"]) * half).T)
+            recurrent = np.ascontiguousarray((self.weights[f"h{side}"] * half).T)
+            gates, fresh = recurrent[: 2 * n], recurrent[2 * n :]
+            reading = np.ascontiguousarray(self.weights["out"][k * n : (k + 1) * n].T)
+            h = np.zeros((n, width), np.float32)
+            for t in range(len(data)) if side == "f" else reversed(range(len(data))):
+                given = inputs.take(data[t], axis=1, mode="clip")
+                both = gates @ h
+                both += given[: 2 * n]
+                np.tanh(both, out=both)
+                both *= 0.5
+                both += 0.5
+                update, reset = both[:n], both[n:]
+                candidate = fresh @ (reset * h)
+                candidate += given[2 * n :]
+                np.tanh(candidate, out=candidate)
+                candidate -= h
+                candidate *= update
+                h += candidate
+                p[t] += reading @ h
+        p -= p.max(axis=1, keepdims=True)
+        np.exp(p, out=p)
+        p /= p.sum(axis=1, keepdims=True)
+        return p
 
     def _softmax(self, states: np.ndarray) -> np.ndarray:
         logits = states @ self.weights["out"] + self.weights["bias"]
@@ -88,19 +120,20 @@ class Network:
         above = p @ self.weights["out"].T
         for k, side in enumerate("fb"):
             recurrent = self.weights[f"h{side}"]
-            dx, dh = np.zeros_like(self.weights[f"x{side}"]), np.zeros_like(recurrent)
+            steps, dh = np.empty((len(data), data.shape[1], 3 * n), np.float32), np.zeros_like(recurrent)
             back = np.zeros((data.shape[1], n), np.float32)
             for t, h, update, reset, candidate in reversed(traces[side]):
                 back = back + above[t, :, k * n : (k + 1) * n]
-                d_update = back * (candidate - h) * update * (1 - update)
-                d_candidate = back * update * (1 - candidate**2)
-                through = d_candidate @ recurrent[:, 2 * n :].T
-                d_reset = through * h * reset * (1 - reset)
-                given = np.hstack([d_update, d_reset, d_candidate])
-                np.add.at(dx, data[t], given)
+                given = steps[t]
+                given[:, :n] = back * (candidate - h) * update * (1 - update)
+                given[:, 2 * n :] = back * update * (1 - candidate**2)
+                through = given[:, 2 * n :] @ recurrent[:, 2 * n :].T
+                given[:, n : 2 * n] = through * h * reset * (1 - reset)
                 dh[:, : 2 * n] += h.T @ given[:, : 2 * n]
-                dh[:, 2 * n :] += (reset * h).T @ d_candidate
+                dh[:, 2 * n :] += (reset * h).T @ given[:, 2 * n :]
                 back = back * (1 - update) + through * reset + given[:, : 2 * n] @ recurrent[:, : 2 * n].T
+            flat = np.ascontiguousarray(steps.reshape(-1, 3 * n).T)
+            dx = np.stack([np.bincount(data.ravel(), own, 256) for own in flat], axis=1).astype(np.float32)
             grads[f"x{side}"], grads[f"h{side}"], grads[f"c{side}"] = dx, dh, dx.sum(axis=0)
         return loss, grads
 
@@ -141,11 +174,14 @@ class Network:
                 data = np.ascontiguousarray(whole[at : at + 2048].T)
                 p = self.probabilities(data)
                 inside = np.arange(CHUNK)[:, None] < length[at : at + 2048]
-                p *= inside[:, :, None]
-                np.add.at(total, own[at : at + 2048], p.sum(axis=0))
-                labelled = (p.argmax(axis=2) + 1) * inside
+                p *= inside[:, None, :]
+                best, top = np.where(inside, 0, languages).astype(np.int16), p[:, 0].copy()
+                for c in range(1, languages):
+                    best[p[:, c] > top] = c
+                    np.maximum(top, p[:, c], out=top)
+                np.add.at(total, own[at : at + 2048], p.sum(axis=0).T)
                 for c in range(languages):
-                    np.add.at(seen[:, c], own[at : at + 2048], (labelled == c + 1).sum(axis=0))
+                    np.add.at(seen[:, c], own[at : at + 2048], (best == c).sum(axis=0))
         sizes = np.maximum(1, [len(t) for t in texts])[:, None]
         return total / sizes, seen
 

@@ -81,6 +81,35 @@ def test_gradients_by_finite_differences():
         assert abs((losses[0] - losses[1]) / 2e-2 - grads[name][at]) < 1e-3
 
 
+def test_byte_gradients_by_finite_differences():
+    net = Network(3, hidden=3)
+    net.weights = {k: v.astype(np.float64) for k, v in net.weights.items()}
+    data, labels = np.random.default_rng(0).integers(0, 5, (7, 4)), np.array([0, 1, 2, 1])
+    _, grads = net.gradients(data, labels)
+    for name in ("xf", "xb"):
+        weights, at = net.weights[name], (data[3, 2], 4)
+        old = weights[at]
+        losses = []
+        for step in (1e-2, -1e-2):
+            weights[at] = old + step
+            losses.append(net.gradients(data, labels)[0])
+        weights[at] = old
+        assert abs((losses[0] - losses[1]) / 2e-2 - grads[name][at]) < 1e-3
+
+
+def test_pooled_probabilities_match_the_training_pass():
+    net, texts = Network(3), [b"", b"abc", bytes(range(256)) * 3, b"x" * 128]
+    total, seen = net.pooled(texts)
+    for text, row, own in zip(texts, total, seen):
+        assert own.sum() == len(text)
+        if text:
+            padded = np.frombuffer(text + b"\0" * (-len(text) % 128), np.uint8).reshape(-1, 128).T
+            states = np.concatenate([net.states(padded, side) for side in "fb"], axis=2)
+            p = net._softmax(states).transpose(1, 0, 2).reshape(-1, 3)[: len(text)]
+            assert np.allclose(row, p.mean(axis=0), atol=1e-5)
+            assert own.tolist() == np.bincount(p.argmax(axis=1), minlength=3).tolist()
+
+
 def test_nearest_examples_are_exact():
     random.seed(0)
     terms = [f"t{i}" for i in range(30)]
