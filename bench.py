@@ -7,10 +7,19 @@ import os
 import statistics
 import time
 
-from spindlewatch.plans.registry import QUERIES
+from spindlewatch.plans.registry import HOURS, QUERIES, telemetry
+from spindlewatch.plans.reports import hours_by_cohort
 from spindlewatch.session import build_session
 
 HEADLINE = ("daily_vault_failures", "top_models", "top_vaults", "hours_by_cohort", "hours_by_cohort_sketch")
+
+
+def sketch_report(spark, sf_dir):
+    """The report itself; the named query also checks its ranks."""
+    return hours_by_cohort(telemetry(spark, sf_dir, "data", "serial_number", "failure", HOURS), accuracy=10_000)
+
+
+TIMED = QUERIES | {"hours_by_cohort_sketch": sketch_report}
 WARM_UP = 2
 RUNS = 5
 
@@ -34,7 +43,7 @@ def main() -> None:
         times = []
         for _ in range(WARM_UP + RUNS):
             start = time.perf_counter()
-            QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            TIMED[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
             times.append(time.perf_counter() - start)
         medians[name] = round(statistics.median(times[WARM_UP:]), 3)
     spark.stop()

@@ -52,6 +52,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
     if options.raw:
         source = f"{options.work.rstrip('/')}/{options.report}.parquet"
         csv_extract = f"{options.work.rstrip('/')}/{options.report}.csv"
+        size_session(spark, options.raw)
         renames = dict(pair.split("=", 1) for pair in options.rename)
         sources.ingest_extract(spark, options.raw, csv_extract, source, options.report, renames)
     size_session(spark, source)

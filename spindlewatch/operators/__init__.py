@@ -1,4 +1,4 @@
-from spindlewatch.operators.distribution import QUARTILES, distribution_stats, global_stats
+from spindlewatch.operators.distribution import QUARTILES, distribution_stats, global_stats, percentile_name
 from spindlewatch.operators.latest import (
     failed_keys,
     flag_ever_failed,
@@ -19,6 +19,7 @@ __all__ = [
     "latest_instants",
     "latest_rows",
     "latest_rows_with_history",
+    "percentile_name",
     "sum_by",
     "top_k",
 ]

@@ -2,15 +2,20 @@
 
 A key may own a large share of all rows. Per-key facts therefore come from
 aggregates, which combine before their shuffle, and reach the rows by an equi
-join on (key, instant). That join spreads a key over its instants; one hot
-(key, instant) pair is split at run time by the skew join rule. No window
-gathers a key in one task.
+join on (key, instant). Before any row is shuffled, each map task drops those
+that are not the newest of their key in it. What is left of a key is dealt by
+(key, scan partition modulo ``SPREAD``), so no window gathers a hot key with
+many ties, and the join splits a hot (key, instant) pair at run time.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window
+
+# Groups that the rows of a key are dealt over while they are reduced to its newest.
+SPREAD = 16
 
 # Copies of each failed key. They let the rows of a hot key meet it in as many
 # tasks even where run-time splitting is off.
@@ -76,11 +81,14 @@ def _join_newest(df: DataFrame, key: str, instant: str, facts: dict[str, Column]
     )
     # Sorted merge: it spills, and run-time skew handling can split its row side.
     known = per_key.where(F.col("_newest").isNotNull()).hint("merge")
-    # A plain equality would add a NULL test of the instant below the scan's
-    # projection and so parse every instant twice. As the newest instants are
-    # never NULL, the null-safe one joins the same rows.
-    same = (F.col(key) == F.col("_key")) & F.col(instant).eqNullSafe(F.col("_newest"))
-    return df.where(F.col(key).isNotNull()).join(known, same)
+    # The partition number is not deterministic, which keeps the NULL test of the
+    # instant above the projection that parses it: no instant is parsed twice.
+    dealt = df.where(F.col(key).isNotNull()).withColumn("_part", F.pmod(F.spark_partition_id(), F.lit(SPREAD)))
+    newest_first = Window.partitionBy(key, "_part").orderBy(F.desc(instant))
+    candidates = (
+        dealt.where(F.col(instant).isNotNull()).withColumn("_rank", F.rank().over(newest_first)).where(F.col("_rank") == 1)
+    )
+    return candidates.join(known, (F.col(key) == F.col("_key")) & (F.col(instant) == F.col("_newest")))
 
 
 def _flagged(ever_failed: Column, failure: str) -> Column:

@@ -93,6 +93,9 @@ ORACLE = {
     "top_vaults": VAULTS
     + "SELECT vault_id, total_failures, array_to_string(models, ',') AS unique_models FROM vaults",
     "hours_by_cohort": COHORTS + "SELECT * FROM cohorts",
+    "hours_by_cohort_sketch": COHORTS
+    + """SELECT "min", "max", "count", failure, TRUE AS "25th_percentile_within",
+                TRUE AS "50th_percentile_within", TRUE AS "75th_percentile_within" FROM cohorts""",
     # Sources
     "scan_parquet": "SELECT l_orderkey, l_suppkey, l_returnflag FROM lineitem",
     "ingest_extract": TELEMETRY

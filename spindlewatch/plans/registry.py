@@ -78,8 +78,29 @@ def hours_by_cohort(spark, sf_dir):
 
 @query
 def hours_by_cohort_sketch(spark, sf_dir):
+    """The sketch at a resolution below the cohorts' sizes, and whether each percentile keeps its rank bound."""
+    accuracy = 100
     rows = telemetry(spark, sf_dir, "data", "serial_number", "failure", HOURS)
-    return reports.hours_by_cohort(rows, accuracy=10_000)
+    latest = ops.latest_rows_with_history(hours_input(spark, sf_dir)).where(f"{HOURS} is not null")
+    names = {p: ops.percentile_name(p) for p in ops.QUARTILES}
+    cohorts = reports.hours_by_cohort(rows, accuracy=accuracy)  # two rows
+    counted = (
+        latest.select("failure", HOURS)
+        .join(F.broadcast(cohorts), "failure")
+        .groupBy("failure", "min", "max", "count")
+        .agg(
+            *[F.count(F.when(F.col(HOURS) < F.col(name), 1)).alias(f"_below_{name}") for name in names.values()],
+            *[F.count(F.when(F.col(HOURS) <= F.col(name), 1)).alias(f"_upto_{name}") for name in names.values()],
+        )
+    )
+    slack = F.col("count") / accuracy + 1
+    within = [
+        (
+            (F.col(f"_below_{name}") + 1 - slack <= F.col("count") * p) & (F.col("count") * p <= F.col(f"_upto_{name}") + slack)
+        ).alias(f"{name}_within")
+        for p, name in names.items()
+    ]
+    return counted.select("min", "max", "count", "failure", *within)
 
 
 # Sources
@@ -393,6 +414,4 @@ def percentiles_approx(spark, sf_dir):
 @query
 def stats_by_cohort(spark, sf_dir):
     rows = telemetry(spark, sf_dir, "failure", HOURS)
-    failed = ops.distribution_stats(rows.where("failure = 1"), HOURS).withColumn("failure", F.lit(1))
-    others = ops.distribution_stats(rows.where("failure = 0"), HOURS).withColumn("failure", F.lit(0))
-    return failed.unionByName(others)
+    return ops.distribution_stats(rows, HOURS, "failure", (1, 0))

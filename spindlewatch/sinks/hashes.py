@@ -47,9 +47,14 @@ def vault_hashes(ranking: DataFrame) -> DataFrame:
 
 
 def cohort_hashes(report: DataFrame) -> DataFrame:
-    """One hash per cohort under its fixed key."""
+    """One hash per cohort under its fixed key.
+
+    A field without a value is set to an empty text, so that nothing of an
+    earlier run stays beside the new count.
+    """
     key = F.when(F.col("failure") == 1, COHORT_KEYS[1]).otherwise(COHORT_KEYS[0])
-    fields = {name: F.col("failure" if name == COHORT_LABEL else name) for name in COHORT_FIELDS}
+    named = {name: F.col("failure" if name == COHORT_LABEL else name).cast("string") for name in COHORT_FIELDS}
+    fields = {name: F.coalesce(value, F.lit("")) for name, value in named.items()}
     return hash_rows(report, key, fields)
 
 

@@ -103,10 +103,12 @@ def test_sketch_stays_within_its_rank_bound(spark, accuracy):
 
 
 def test_quartiles_never_decrease(spark, tables):
-    from spindlewatch.plans.registry import QUERIES
+    from spindlewatch.plans.registry import QUERIES, hours_input
+    from spindlewatch.plans.reports import hours_by_cohort
 
-    for name in ("hours_by_cohort", "hours_by_cohort_sketch", "percentiles_approx", "stats_by_cohort"):
-        for row in QUERIES[name](spark, tables).select("min", "25th_percentile", "50th_percentile", "75th_percentile", "max").collect():
+    queries = [QUERIES[name](spark, tables) for name in ("hours_by_cohort", "percentiles_approx", "stats_by_cohort")]
+    for report in (*queries, hours_by_cohort(hours_input(spark, tables), accuracy=10_000)):
+        for row in report.select("min", "25th_percentile", "50th_percentile", "75th_percentile", "max").collect():
             assert list(row) == sorted(row)
 
 

@@ -44,7 +44,7 @@ def test_vault_hash_lists_models_with_a_blank(edge):
     }
 
 
-def test_cohort_hash_leaves_unknown_fields_out(edge):
+def test_cohort_hash_empties_unknown_fields(edge):
     found = {}
     for key, field, value in values(hashes.to_cells(hashes.cohort_hashes(hours_by_cohort(edge)))):
         found.setdefault(key, {})[field] = value
@@ -53,7 +53,10 @@ def test_cohort_hash_leaves_unknown_fields_out(edge):
             "# failure": "1", "min": "30.0", "25th_percentile": "30.0", "50th_percentile": "30.0",
             "75th_percentile": "31.0", "max": "31.0", "count": "2",
         },
-        "nofailureStats": {"# failure": "0", "count": "0"},
+        "nofailureStats": {
+            "# failure": "0", "min": "", "25th_percentile": "", "50th_percentile": "",
+            "75th_percentile": "", "max": "", "count": "0",
+        },
     }
 
 
