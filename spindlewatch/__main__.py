@@ -32,6 +32,7 @@ def parse(arguments: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--work", help="folder of the extracts, with --raw")
     parser.add_argument("--rename", action="append", default=[], metavar="OLD=NEW", help="rename a raw column")
     parser.add_argument("--out", action="append", default=[], help="folder for CSV results; may be repeated")
+    parser.add_argument("--shared-files", action="store_true", help="file: folders of --out are one mount on all machines")
     parser.add_argument("--store", help="folder of the cell table")
     parser.add_argument("--batch", type=int, help="batch number in the cell table, to run one again; by default a new one")
     parser.add_argument("--redis", metavar="HOST:PORT", help="also set the hashes in Redis")
@@ -45,9 +46,18 @@ def parse(arguments: Sequence[str] | None = None) -> argparse.Namespace:
     return options
 
 
+def refuse_own_disks(folders: Sequence[str], master: str) -> None:
+    """On a cluster a ``file:`` folder is another disk on every machine: rows would be lost without an error."""
+    local = [folder for folder in folders if folder.startswith("file:")]
+    if local and not master.startswith("local"):
+        raise ValueError(f"{local[0]} lies on every machine's own disk; give --shared-files if it is one mount")
+
+
 def main(arguments: Sequence[str] | None = None) -> None:
     options = parse(arguments)
     spark = build_session(f"spindlewatch {options.report}")
+    if not options.shared_files:
+        refuse_own_disks(options.out, spark.sparkContext.master)
     source = options.parquet
     if options.raw:
         source = f"{options.work.rstrip('/')}/{options.report}.parquet"

@@ -6,6 +6,7 @@ import pytest
 from conftest import EDGE_ROWS, telemetry, values
 from test_hashes import recorder, sent
 
+from spindlewatch.__main__ import refuse_own_disks
 from spindlewatch.functions import typed_telemetry
 from spindlewatch.jobs import Outputs, run_daily, run_hours, run_rankings
 
@@ -32,6 +33,13 @@ def test_hours_reach_the_store(edge, tmp_path):
     assert found["nofailureStats"] == {"# failure": "0", "count": "0", **unknown}
 
 
+def test_file_folders_are_refused_on_a_cluster():
+    refuse_own_disks(["file:///results"], "local[8]")
+    refuse_own_disks(["hdfs:///results"], "yarn")
+    with pytest.raises(ValueError, match="--shared-files"):
+        refuse_own_disks(["hdfs:///results", "file:///results"], "yarn")
+
+
 def test_nothing_is_kept_after_a_job(edge, spark):
     seen = []
     run_daily(edge, Outputs(preview=seen.append), counts=(1,))
