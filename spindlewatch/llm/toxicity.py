@@ -1,17 +1,29 @@
 """Toxicity by the nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
-Examples are numbered, and the postings of each term come in blocks of example
-numbers with the largest weight of each block. A text visits blocks in falling
-order of the sum of its terms' block maxima and stops once no block left can
-reach the worst of the k scores it has, so the k nearest examples are exact.
-Their votes, weighted by distance, become a probability by isotonic regression
-over the examples themselves, each one scored without its own vote.
+Every term of the examples is indexed. Its weight is its idf among the examples,
+times ``FLOOR`` plus its squared correlation with the label (chi square over the
+number of examples), so that a marking word outweighs the words around it and no
+term weighs nothing. Terms that no example holds are no axes of the space.
+
+Examples are numbered and lie in blocks of numbers. A common term, in more than
+one of ``DENSE`` examples, has a row of weights in every block and the largest
+weight of each block; any other term has a list of postings. A text takes the
+postings of its rare terms in full, which with the block maxima of its common
+terms bounds what each block can reach. It visits blocks in falling order of
+that bound and stops once no block left can reach the worst of the k scores it
+has. Blocks are scored for many texts at a time in single precision; all
+examples that its error could put among the k are scored again in double
+precision, so the k nearest are exact. Their votes, weighted by distance,
+become a probability by isotonic regression over the examples themselves, each
+one scored without its own vote and without the terms that only it holds, as a
+new text has none of them.
 """
 
 from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,10 +35,13 @@ from spindlewatch.llm.calibration import calibrated, isotonic
 from spindlewatch.llm.common import fold, keep, query, small, table
 
 EXAMPLES = 1_500  # labelled texts of each class that are indexed, at most
-TERMS = 256  # index terms, at most: those that mark label 1 most surely
-SURE = 30.0  # chi square that a term must reach
+FLOOR = 0.01  # added to a term's squared correlation with the label
+EVIDENT = 3.84  # chi square (5 % level) from which a term is named as evidence; it takes part in the score at any
 NEAREST = 15
 BLOCK = 64
+DENSE = 16
+VISIT = 8  # blocks that are visited before what is left is bounded again
+TEXTS = 128  # texts that are scored at a time
 STEMS = (4, 5)
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -43,61 +58,121 @@ def terms_of(text: str | None) -> Counter:
 
 @dataclass
 class BlockMaxIndex:
-    """TF-IDF unit vectors of the examples, by term and block of examples."""
+    """TF-IDF unit vectors of the examples: common terms by block, the others as postings."""
 
     vocabulary: dict[str, int]
-    idf: np.ndarray
-    maxima: np.ndarray  # term x block
-    postings: list[list[tuple[np.ndarray, np.ndarray] | None]]  # term, block: example numbers in the block, weights
+    weight: np.ndarray  # of each term
+    texts_with: np.ndarray
+    common: np.ndarray  # a term's row in maxima and dense, -1 of a rare one
+    maxima: np.ndarray  # common term x block
+    whole: np.ndarray  # example x common term
+    dense: np.ndarray  # block x common term x place, in single precision
+    first: np.ndarray  # of a term's postings, and one more
+    numbers: np.ndarray  # example of each posting
+    weights: np.ndarray
     ids: np.ndarray
     labels: np.ndarray
 
     @staticmethod
     def of(
-        ids: list[int], counts: list[dict[str, int]], labels: list[int], terms: list[str], texts_with: list[int]
+        ids: list[int], counts: Iterable[dict[str, int]], labels: list[int], terms: list[str], texts_with: list[int], telling: np.ndarray | float = 1.0
     ) -> BlockMaxIndex:
-        """``texts_with``: how many of the examples hold each of the terms."""
-        vocabulary = {t: i for i, t in enumerate(terms)}
-        idf = np.array([np.log(1 + len(ids) / (1 + n)) for n in texts_with])
+        """``texts_with``: how many of the examples hold each of the terms; ``telling``: what its idf is multiplied with."""
+        n = np.array(texts_with, np.int64)
         blocks = -(-len(ids) // BLOCK)
-        maxima = np.zeros((len(terms), blocks))
-        lists: list[list] = [[([], []) for _ in range(blocks)] for _ in terms]
-        made = BlockMaxIndex(vocabulary, idf, maxima, [], np.array(ids, np.int64), np.array(labels))
+        common = np.where(n * DENSE > len(ids), 0, -1)
+        common[common == 0] = np.arange((common == 0).sum())
+        rows = int((common >= 0).sum())
+        whole = np.zeros((blocks * BLOCK, rows))
+        none = np.zeros(0, np.int64)
+        made = BlockMaxIndex(
+            {t: i for i, t in enumerate(terms)}, np.log(1 + len(ids) / (1 + n)) * telling, n, common, none, whole, none, none, none, none, np.array(ids, np.int64), np.array(labels)
+        )
+        found = []
         for number, own in enumerate(counts):
-            block, place = divmod(number, BLOCK)
-            for term, weight in zip(*made.vector(own)):
-                lists[term][block][0].append(place)
-                lists[term][block][1].append(weight)
-                maxima[term, block] = max(maxima[term, block], weight)
-        made.postings = [[(np.array(p), np.array(w)) if p else None for p, w in row] for row in lists]
+            at, weights = made.vector(own)
+            row = common[at]
+            whole[number, row[row >= 0]] = weights[row >= 0]
+            found.append((at[row < 0], np.full((row < 0).sum(), number), weights[row < 0]))
+        made.maxima = whole.reshape(blocks, BLOCK, rows).max(1).T.copy()
+        made.dense = np.ascontiguousarray(whole.reshape(blocks, BLOCK, rows).transpose(0, 2, 1), np.float32)
+        at, numbers, weights = (np.concatenate(c) for c in zip(*found)) if found else (none, none, np.zeros(0))
+        order = np.argsort(at, kind="stable")
+        made.first = np.searchsorted(at[order], np.arange(len(terms) + 1))
+        made.numbers, made.weights = numbers[order].astype(np.int32), weights[order]
         return made
 
-    def vector(self, counts: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
-        known = sorted((self.vocabulary[t], n) for t, n in counts.items() if t in self.vocabulary)
-        terms = np.array([t for t, _ in known], np.int64)
-        weights = (1 + np.log([n for _, n in known])) * self.idf[terms] if known else np.zeros(0)
-        return terms, weights / np.sqrt((weights**2).sum()) if known else weights
+    def vector(self, counts: dict[str, int], least: int = 1) -> tuple[np.ndarray, np.ndarray]:
+        """Terms that ``least`` examples hold at least, and their weights, of length 1 together."""
+        known = self.vocabulary.get
+        terms = np.array([known(t, -1) for t in counts], np.int64)
+        times = np.fromiter(counts.values(), float, len(counts))
+        held = np.flatnonzero(terms >= 0)
+        held = held[self.texts_with[terms[held]] >= least]
+        held = held[np.argsort(terms[held])]
+        terms = terms[held]
+        weights = (1 + np.log(times[held])) * self.weight[terms]
+        return terms, weights / np.sqrt((weights**2).sum()) if len(terms) else weights
 
     def nearest(self, counts: dict[str, int], k: int = NEAREST, without: int = -1) -> list[tuple[float, int]]:
         """The k examples of the highest cosine above 0, ties to the smaller number: (cosine, number)."""
-        terms, weights = self.vector(counts)
-        if not len(terms):
-            return []
-        bounds = weights @ self.maxima[terms]
-        best: list[tuple[float, int]] = []
-        for block in np.argsort(-bounds, kind="stable"):
-            # The margin covers rounding, so that ties are seen.
-            if bounds[block] <= 0 or len(best) == k and bounds[block] < -best[-1][0] - 1e-9:
-                break
-            scores = np.zeros(BLOCK)
-            for term, weight in zip(terms, weights):
-                found = self.postings[term][block]
-                if found:
-                    scores[found[0]] += weight * found[1]
-            hits = np.flatnonzero(scores > 0)
-            best += [(-round(float(scores[h]), 9), int(block) * BLOCK + int(h)) for h in hits if int(block) * BLOCK + int(h) != without]
-            best = sorted(best)[:k]
-        return [(-s, n) for s, n in best]
+        return self.near([counts], k, [without])[0]
+
+    def near(self, texts: list[dict[str, int]], k: int = NEAREST, without: list[int] | None = None) -> list[list[tuple[float, int]]]:
+        """``nearest`` of each text."""
+        own = [-1] * len(texts) if without is None else without
+        return [best for at in range(0, len(texts), TEXTS) for best in self._near(texts[at : at + TEXTS], k, own[at : at + TEXTS])]
+
+    def _near(self, texts: list[dict[str, int]], k: int, without: list[int]) -> list[list[tuple[float, int]]]:
+        blocks, rows = self.dense.shape[:2]
+        query, rare = np.zeros((len(texts), rows)), np.zeros((len(texts), blocks * BLOCK))
+        for i, (counts, left_out) in enumerate(zip(texts, without)):
+            terms, weights = self.vector(counts, 1 if left_out < 0 else 2)
+            row = self.common[terms]
+            query[i, row[row >= 0]] = weights[row >= 0]
+            rare[i] = self._rare(terms[row < 0], weights[row < 0])
+        by_block = rare.reshape(len(texts), blocks, BLOCK)
+        bounds = by_block.max(2) + query @ self.maxima
+        single = query.astype(np.float32)
+        margin = (rows + 8) * 2.0**-22  # above twice the error of a score in single precision
+        # Of a text: what an example must reach; 0 is no neighbour.
+        least = np.full(len(texts), 1e-12)
+        scores = np.full((len(texts), blocks, BLOCK), -1, np.float32)
+        for step, block in enumerate(np.argsort(-bounds.sum(0), kind="stable")):
+            if step and step % VISIT == 0:
+                least = np.maximum(least, self._worst(scores, k, without) - margin)
+            visit = np.flatnonzero(bounds[:, block] >= least)
+            if len(visit):
+                scores[visit, block] = single[visit] @ self.dense[block] + by_block[visit, block]
+        least = np.maximum(least, self._worst(scores, k, without) - margin)
+        flat, out = scores.reshape(len(texts), -1), []
+        for i, left_out in enumerate(without):
+            numbers = np.flatnonzero(flat[i] >= least[i])
+            numbers = numbers[numbers != left_out]
+            row = np.flatnonzero(query[i])
+            exact = np.round(rare[i, numbers] + self.whole[numbers[:, None], row] @ query[i, row], 9)
+            numbers, exact = numbers[exact > 0], exact[exact > 0]
+            top = np.lexsort((numbers, -exact))[:k]
+            out.append(list(zip(exact[top].tolist(), numbers[top].tolist())))
+        return out
+
+    @staticmethod
+    def _worst(scores: np.ndarray, k: int, without: list[int]) -> np.ndarray:
+        """Of each text: the score of rank k so far, with a rank more where an example is left out."""
+        flat = scores.reshape(len(scores), -1)
+        rank = k + int(max(without) >= 0)
+        return np.partition(flat, -rank, axis=1)[:, -rank] if flat.shape[1] >= rank else np.full(len(flat), -1.0)
+
+    def _rare(self, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """What rare terms add to the score of each example, padded to whole blocks."""
+        size = len(self.whole)
+        low = self.first[terms]
+        long = self.first[terms + 1] - low
+        ends = np.cumsum(long)
+        if not len(ends) or not ends[-1]:
+            return np.zeros(size)
+        at = np.arange(ends[-1]) + np.repeat(low - ends + long, long)
+        return np.bincount(self.numbers[at], np.repeat(weights, long) * self.weights[at], size)
 
     def vote(self, near: list[tuple[float, int]]) -> float:
         """Share of the votes for label 1, each weighted by 1 / (distance + 0.05); 0 without neighbours."""
@@ -122,40 +197,42 @@ def examples(docs: DataFrame, labels: DataFrame, label: str, most: int = EXAMPLE
     return texts.join(F.broadcast(ids), "id").groupBy("id").agg(F.min("text").alias("text"), F.max("label").alias("label"))
 
 
-def marking_terms(counted: DataFrame) -> DataFrame:
-    """(term, n): the terms, ``TERMS`` at most, whose presence marks label 1, by chi square, and their texts' number."""
-    clean, toxic = counted.agg(F.count_if(F.col("label") == 0), F.count_if(F.col("label") == 1)).first()
-    total = clean + toxic
-    found = (
-        counted.select("label", F.explode(F.map_keys("terms")).alias("term"))
-        .groupBy("term")
-        .agg(F.count("*").alias("n"), F.sum("label").alias("hits"))
-        .where(f"n >= 3 and n < {total} and hits / {max(1, toxic)} > (n - hits) / {max(1, clean)}")
-    )
-    share = F.col("n") / F.lit(max(1, total))
-    off = F.pow(F.col("hits") - share * toxic, F.lit(2))  # the same for both classes
-    chi = off / (share * (1 - share)) * (1 / max(1, clean) + 1 / max(1, toxic))
-    return found.withColumn("chi", chi).where(F.col("chi") >= SURE).orderBy(F.desc("chi"), "term").limit(TERMS).select("term", "n")
+def correlation(texts_with: np.ndarray, hits: np.ndarray, labels: np.ndarray) -> np.ndarray:
+    """Squared correlation of each term's presence with the label; ``hits``: examples of label 1 that hold it."""
+    total, toxic = len(labels), int(labels.sum())
+    if not 0 < toxic < total:
+        return np.zeros(len(texts_with))
+    share = texts_with / total
+    spread = share * (1 - share) * toxic * (total - toxic)
+    return np.divide((hits - share * toxic) ** 2, spread, out=np.zeros(len(spread)), where=spread > 0)
 
 
-def fitted(docs: DataFrame, labels: DataFrame) -> tuple[BlockMaxIndex, tuple[np.ndarray, np.ndarray]]:
-    """The index of the drawn examples and the calibration of its votes."""
+def fitted(docs: DataFrame, labels: DataFrame) -> tuple[BlockMaxIndex, tuple[np.ndarray, np.ndarray], np.ndarray]:
+    """The index of the drawn examples, the calibration of its votes, and which terms are evidence of label 1."""
     counted = keep(examples(docs, labels, "toxic").mapInArrow(_counted, "id long, label int, terms map<string,int>"), "examples")
-    terms = marking_terms(counted).collect()
-    chosen = F.map_filter("terms", lambda term, _: term.isin([t.term for t in terms])) if terms else F.map_filter("terms", lambda term, _: F.lit(False))
-    rows = counted.select("id", "label", chosen.alias("terms")).orderBy("id").collect()
-    index = BlockMaxIndex.of(
-        [r.id for r in rows], [r.terms for r in rows], [r.label for r in rows], [t.term for t in terms], [t.n for t in terms]
-    )
-    if not rows:
-        return index, (np.zeros(1), np.zeros(1))
-    raw = np.array([index.vote(index.nearest(r.terms, without=i)) for i, r in enumerate(rows)])
+    rows = counted.orderBy("id").toArrow()
+    kinds, own = rows["label"].to_numpy(), rows["terms"].combine_chunks()
+    codes = own.keys.dictionary_encode()
+    terms, codes, times, first = codes.dictionary.to_pylist(), codes.indices.to_numpy(), own.items.to_numpy(), own.offsets.to_numpy()
+    texts_with = np.bincount(codes, minlength=len(terms))
+    hits = np.bincount(codes, np.repeat(kinds, np.diff(first)), len(terms))
+    telling = correlation(texts_with, hits, kinds)
+
+    def counts():
+        for low, high in zip(first[:-1], first[1:]):
+            yield {terms[c]: n for c, n in zip(codes[low:high].tolist(), times[low:high].tolist())}
+
+    index = BlockMaxIndex.of(rows["id"].to_numpy(), counts(), kinds, terms, texts_with, FLOOR + telling)
+    evident = (telling * len(kinds) >= EVIDENT) & (hits * len(kinds) > texts_with * kinds.sum())
+    if not len(kinds):
+        return index, (np.zeros(1), np.zeros(1)), evident
+    raw = np.array([index.vote(near) for near in index.near(list(counts()), without=list(range(len(kinds))))])
     # Every class counts as it does among all labelled rows, not as drawn.
     learn = labels.where("toxic in (0, 1)").where(fold("doc_id", 5) != 0)
     share = dict(learn.groupBy("toxic").count().collect())
     drawn = np.bincount(index.labels, minlength=2)
     weight = np.array([share.get(c, 0) / max(1, drawn[c]) for c in (0, 1)])[index.labels]
-    return index, isotonic(raw, index.labels.astype(float), weight)
+    return index, isotonic(raw, index.labels.astype(float), weight), evident
 
 
 def _counted(batches):
@@ -172,22 +249,22 @@ SCORED = "id long, score double, neighbours array<long>, evidence array<string>"
 def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` as (id, score, neighbours, evidence), a row for a row; id, language and source are not inputs.
 
-    Null, empty and other texts without an index term have no neighbours and the
-    score of that. Without labelled examples every score is 0. Labels of one id
+    Null, empty and other texts without a term of an example have no neighbours
+    and the score of that. ``evidence`` names the text's terms that are surely
+    more frequent in toxic examples. Without labelled examples every score is 0. Labels of one id
     that differ count as toxic. The index holds ``EXAMPLES`` texts of each class
     at most and is sent to the tasks; every text is scored whole.
     """
-    index, knots = fitted(docs, labels)
+    index, knots, evident = fitted(docs, labels)
+    telltale = {t for t, i in index.vocabulary.items() if evident[i]}
 
     def run(batches):
         for batch in small(batches):
-            scores, near_ids, evidence = [], [], []
-            for text in batch.column("text").to_pylist():
-                counts = terms_of(text)
-                near = index.nearest(counts)
-                scores.append(float(calibrated(np.array([index.vote(near)]), knots)[0]))
-                near_ids.append([int(index.ids[n]) for _, n in near])
-                evidence.append(sorted(t for t in counts if t in index.vocabulary))
+            counts = [terms_of(t) for t in batch.column("text").to_pylist()]
+            found = index.near(counts)
+            scores = calibrated(np.array([index.vote(near) for near in found]), knots)
+            near_ids = [[int(index.ids[n]) for _, n in near] for near in found]
+            evidence = [sorted(telltale.intersection(c)) for c in counts]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array(scores, pa.float64()), pa.array(near_ids, pa.list_(pa.int64())), pa.array(evidence, pa.list_(pa.string()))],
                 ["id", "score", "neighbours", "evidence"],
@@ -198,11 +275,11 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
     """Rows of ``docs`` that score below the threshold, with their columns. One pass, no shuffle."""
-    index, knots = fitted(docs, labels)
+    index, knots, _ = fitted(docs, labels)
 
     def run(batches):
         for batch in small(batches):
-            votes = np.array([index.vote(index.nearest(terms_of(t))) for t in batch.column("text").to_pylist()])
+            votes = np.array([index.vote(near) for near in index.near([terms_of(t) for t in batch.column("text").to_pylist()])])
             yield batch.filter(pa.array(calibrated(votes, knots) < threshold))
 
     return docs.mapInArrow(run, docs.schema)

@@ -14,7 +14,7 @@ from spindlewatch.llm.decontamination import contaminated, tiles, word_hashes
 from spindlewatch.llm.language import Network
 from spindlewatch.llm.mixing import mixed, rake, sample
 from spindlewatch.llm.topk_search import DualSearch, top_k
-from spindlewatch.llm.toxicity import BlockMaxIndex, score_toxicity
+from spindlewatch.llm.toxicity import NEAREST, BlockMaxIndex, score_toxicity
 from spindlewatch.llm.warc import RecordParser, deflated, inflated, normalise, read_records, write_archives
 
 
@@ -130,6 +130,44 @@ def test_toxicity_without_labels(spark, documents):
     assert [r.score for r in score_toxicity(documents([(1, "x"), (2, None)]), labels).collect()] == [0.0, 0.0]
 
 
+def test_toxicity_indexes_every_term_of_few_examples(spark, documents):
+    # 60 examples: chi square of a term cannot reach 30 in a corpus where it marks a third of the toxic ones.
+    def text(i):
+        return f"common words about garden {'rose' if i % 2 else 'tulip'} plot{chr(97 + i % 26)} " + (f"vile{chr(97 + i % 3)} insult" if i % 5 == 0 else "lovely day")
+
+    rows = [(i, text(i)) for i in range(60)]
+    labels = spark.createDataFrame([(i, int(i % 5 == 0), 1) for i in range(60)], "doc_id long, toxic int, quality int")
+    new = [(1000, "a vileb insult in the garden"), (1001, "lovely tulip day in the garden"), (1002, None), (1003, ""), (1004, "xyzzy qwert")]
+    found = {r.id: r for r in score_toxicity(documents(rows + new), labels).collect()}
+    assert len(found) == 65
+    # A clean text has neighbours too, and they are clean.
+    assert len(found[1001].neighbours) == NEAREST and all(n % 5 for n in found[1001].neighbours)
+    assert found[1000].score >= 0.5 > found[1001].score
+    assert found[1000].evidence and not found[1001].evidence
+    for i in (1002, 1003, 1004):
+        assert found[i].neighbours == [] and found[i].score < 0.5
+
+
+def test_rare_and_common_terms_give_exact_neighbours():
+    r = np.random.default_rng(4)
+    names = [f"t{i}" for i in range(4000)]
+    counts = [{names[min(3999, int(z))]: int(r.integers(1, 4)) for z in r.zipf(1.3, 60)} for _ in range(500)]
+    texts_with = [sum(t in c for c in counts) for t in names]
+    index = BlockMaxIndex.of(list(range(500)), counts, [i % 2 for i in range(500)], names, texts_with, 0.05 + r.random(4000))
+    assert (index.common >= 0).any() and len(index.numbers)
+    dense = np.zeros((500, 4000))
+    for i, c in enumerate(counts):
+        at, weight = index.vector(c)
+        dense[i, at] = weight
+    for i in range(0, 500, 25):
+        for without in (-1, i):
+            query = np.zeros(4000)
+            at, weight = index.vector(counts[i], 1 if without < 0 else 2)
+            query[at] = weight
+            wanted = sorted((-s, n) for n, s in enumerate(np.round(dense @ query, 9)) if s > 0 and n != without)[:15]
+            assert [(-s, n) for s, n in index.nearest(counts[i], without=without)] == wanted
+
+
 def test_mixing_keeps_rows_and_totals(spark, documents):
     docs = documents([(1, "a b c"), (2, None), (3, ""), (4, "d " * 50), (4, "d " * 50)])
     found = mixed(docs).collect()
