@@ -2,11 +2,12 @@
 
 A window of words that starts earlier too is a repeated phrase. Recurring
 passages are confirmed by counting content-defined blocks of windows (see
-``blocks``); their phrases are dealt to shards by the hash of the block's
-anchor, each shard compiles them into an Aho-Corasick automaton, and the text of
-every document is streamed, block by block, through the automaton of the shard
-that may know its phrases. A document's text goes only where its anchors recur,
-so the work grows with the corpus and not with documents times shards.
+``blocks``). Copies of whole equal blocks, which are most copies, are found by a
+join on the block's digest and meet no automaton. Where an anchor has several
+different blocks, one of each is dealt to a shard by the hash of the anchor; the
+shard finds the phrases that recur in its passages, compiles them into an
+Aho-Corasick automaton and runs it over the same passages. A passage goes to one
+shard only, so the work grows with the corpus and not with documents times shards.
 """
 
 from __future__ import annotations
