@@ -56,9 +56,12 @@ class Blocks:
 
 
 
-def parts_of(blocks: int) -> tuple[int, int]:
-    """How a key with so many different blocks is split: by anchor place, and beyond that by content."""
-    by_place = min(-(-blocks // HOT_BLOCKS), 1 << 10)
+def parts_of(blocks: int, places: int = 1 << 10) -> tuple[int, int]:
+    """How a key with so many different blocks is split: by anchor place, of which a window has ``places``, and beyond that by content.
+
+    A split by content needs one by place, as then a part takes single windows.
+    """
+    by_place = min(-(-blocks // HOT_BLOCKS), max(2, places))
     return by_place, -(-blocks // (HOT_BLOCKS * by_place))
 
 

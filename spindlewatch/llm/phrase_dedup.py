@@ -78,7 +78,7 @@ def remove_repeated_passages(
         "compared-blocks",
     )
     passages = keep(
-        known.dropDuplicates(["id"]).join(compared, "id").mapInArrow(_cut(width), "key long, id long, start int, windows int, bytes binary"),
+        known.dropDuplicates(["id"]).join(compared, "id").mapInArrow(_cut(width, gram), "key long, id long, start int, windows int, bytes binary"),
         "passages",
     )
     total = passages.agg(F.sum(F.length("bytes"))).first()[0] or 0
@@ -131,7 +131,7 @@ def _blocks(width: int, gram: int):
     return run
 
 
-def _cut(width: int):
+def _cut(width: int, gram: int):
     kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
 
     def packed(rows):
@@ -144,7 +144,7 @@ def _cut(width: int):
                 words = Words([text])
                 whole, begin, end = words.data.tobytes(), words.start, words.end
                 for b in blocks:
-                    by_place, by_content = parts_of(b["n"])
+                    by_place, by_content = parts_of(b["n"], width - gram + 1)
                     step = 1 if by_content > 1 else max(1, width // by_place)
                     at = 0
                     while at < b["windows"]:

@@ -242,7 +242,7 @@ def repeated_spans(rows: DataFrame, width: int, gram: int | None = None, spare_f
         "compared-blocks",
     )
     cut = keep(
-        known.dropDuplicates(["id"]).join(compared, "id").mapInArrow(_cut(width), "key long, id long, start int, windows int, anchor int, bytes binary"),
+        known.dropDuplicates(["id"]).join(compared, "id").mapInArrow(_cut(width, gram), "key long, id long, start int, windows int, anchor int, bytes binary"),
         "block-bytes",
     )
     total = cut.agg(F.sum(F.length("bytes") + 64 * F.col("windows"))).first()[0] or 0
@@ -287,7 +287,7 @@ def _blocks(width: int, gram: int):
     return run
 
 
-def _cut(width: int):
+def _cut(width: int, gram: int):
     names = ["key", "id", "start", "windows", "anchor", "bytes"]
 
     def run(batches):
@@ -295,7 +295,7 @@ def _cut(width: int):
             out, held = [], 0
             for identity, text, blocks in zip(batch.column("id").to_pylist(), texts_of(batch), batch.column("blocks").to_pylist()):
                 for b in blocks:
-                    by_place, by_content = parts_of(b["n"])
+                    by_place, by_content = parts_of(b["n"], width - gram + 1)
                     # Windows whose anchor lies equally far behind their start share a part.
                     step = 1 if by_content > 1 else max(1, width // by_place)
                     at = 0

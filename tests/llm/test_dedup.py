@@ -6,10 +6,12 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from spindlewatch.llm.blocks import Blocks, parts_of, pieces
+from spindlewatch.llm import phrase_dedup
+from spindlewatch.llm.blocks import HOT_BLOCKS, Blocks, parts_of, pieces
 from spindlewatch.llm.common import components
 from spindlewatch.llm.minhash_dedup import near_duplicates
 from spindlewatch.llm.phrase_dedup import phrase_automaton, remove_repeated_passages
@@ -170,3 +172,17 @@ def test_long_texts_and_hot_keys_are_split():
     cut = pieces((1 << 20) * 2 + 5, 400)
     assert sum(e - s - 399 for s, e in cut) == (1 << 20) * 2 + 5 - 399
     assert parts_of(10) == (1, 1) and parts_of(9_000) == (3, 1) and parts_of(10_000_000)[1] > 1
+
+
+def test_hot_keys_are_split_by_content_beyond_their_anchor_places():
+    for blocks, places in ((100_000, 17), (1_000_000, 17), (4_000_000, 351), (50_000, 1)):
+        by_place, by_content = parts_of(blocks, places)
+        assert by_place <= max(2, places) and by_content > 1 and by_place * by_content * HOT_BLOCKS >= blocks
+    # Equal windows of two texts meet in one part, and each window is in one.
+    common = [f"w{i}" for i in range(24)]
+    texts = [" ".join(["a", *common, "b"]), " ".join(["c", "d", *common, "e"])]
+    block = lambda first: [{"key": 7, "n": 1_000_000, "start": first, "windows": 5, "anchor": 14}]
+    batch = pa.RecordBatch.from_pylist([{"id": i, "text": t, "blocks": block(i + 1)} for i, t in enumerate(texts)])
+    rows = [r for out in phrase_dedup._cut(20, 4)(iter([batch])) for r in out.to_pylist()]
+    parts = [[(r["key"], r["bytes"]) for r in rows if r["id"] == i] for i in (0, 1)]
+    assert len(parts[0]) == 5 and parts[0] == parts[1] and all(r["windows"] == 1 for r in rows)
