@@ -7,7 +7,7 @@ import random
 from fractions import Fraction
 
 import pytest
-from conftest import values
+from samples import values
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import EDGE_ROWS, day, telemetry, values
+from samples import EDGE_ROWS, day, telemetry, values
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 

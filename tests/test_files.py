@@ -6,7 +6,7 @@ import csv
 from pathlib import Path
 
 import pytest
-from conftest import EDGE_ROWS, day, telemetry, values
+from samples import EDGE_ROWS, day, telemetry, values
 from pyspark.sql import functions as F
 
 from spindlewatch import __main__ as command

@@ -7,7 +7,7 @@ import os
 import uuid
 
 import pytest
-from conftest import EDGE_ROWS, day, telemetry, values
+from samples import EDGE_ROWS, day, telemetry, values
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import EDGE_ROWS, telemetry, values
+from samples import EDGE_ROWS, telemetry, values
 from test_hashes import recorder, sent
 
 from spindlewatch.__main__ import refuse_own_disks

@@ -7,7 +7,7 @@ from pathlib import Path
 
 import duckdb
 import pytest
-from conftest import TABLES, values
+from samples import TABLES, values
 
 import __spark_entry__ as driver
 from spindlewatch.plans.oracle import ORACLE

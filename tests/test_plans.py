@@ -6,7 +6,7 @@ import contextlib
 import re
 
 import pytest
-from conftest import values
+from samples import values
 from pyspark.sql import functions as F
 
 from spindlewatch import sources
