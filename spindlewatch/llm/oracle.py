@@ -146,3 +146,116 @@ FROM docs JOIN chances USING (source_cell, lang_cell, topic_cell)
 
 
 ORACLE["op1_source_mixing"] = _mixing(POWERS, ROUNDS, TOKEN_SHARE, SEED)
+
+
+def _crc32(octets: str) -> str:
+    """Checksum of a list of octets, bit by bit."""
+    step = "xor(x // 2, CASE WHEN x % 2 = 1 THEN CAST(3988292384 AS BIGINT) ELSE CAST(0 AS BIGINT) END)"
+    octet = f"list_reduce(list_prepend(xor(c, o), CAST(range(8) AS BIGINT[])), lambda x, i: {step})"
+    return f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), CAST({octets} AS BIGINT[])), lambda c, o: {octet}), CAST(4294967295 AS BIGINT))"
+
+
+def _octets(text: str) -> str:
+    """Octets of a text whose characters lie below U+0800."""
+    return (
+        f"flatten(list_transform(range(1, length({text}) + 1), lambda k: CASE WHEN unicode(substr({text}, k, 1)) < 128 "
+        f"THEN [unicode(substr({text}, k, 1))] "
+        f"ELSE [192 + unicode(substr({text}, k, 1)) // 64, 128 + unicode(substr({text}, k, 1)) % 64] END))"
+    )
+
+
+def _framed(text: str) -> str:
+    values = ("CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text)
+    return " || ".join(f"coalesce(strlen({v}) || ':' || {v}, '-')" for v in values)
+
+
+def _beside(nodes: str, group: str) -> str:
+    frame = f"OVER (PARTITION BY {group}lvl, pos // 3 ORDER BY pos ROWS BETWEEN"
+    return f"""
+  SELECT *, coalesce(string_agg(node, '') {frame} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS before,
+         coalesce(string_agg(node, '') {frame} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS after
+  FROM {nodes} WHERE n > 1"""
+
+
+ORACLE["op12_merkle_manifest"] = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, sha256({_framed("text")}) AS leaf,
+         CASE WHEN {_crc32(_octets("CAST(doc_id AS VARCHAR)"))} % 2 = 0
+              THEN sha256({_framed("replace(text, chr(10), '')")}) ELSE sha256({_framed("text")}) END AS shown
+  FROM documents
+), leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM d
+), up AS (
+  SELECT source, 0 AS lvl, pos, leaf AS node, count(*) OVER (PARTITION BY source) AS n FROM leaves
+  UNION ALL
+  SELECT source, lvl + 1, pos // 3, sha256(string_agg(node, '' ORDER BY pos)), (n + 2) // 3
+  FROM up WHERE n > 1 GROUP BY source, lvl, pos // 3, n
+), sources AS (
+  SELECT source, node AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS place FROM up WHERE n = 1
+), over_sources AS (
+  SELECT 0 AS lvl, place AS pos, subroot AS node, count(*) OVER () AS n FROM sources
+  UNION ALL
+  SELECT lvl + 1, pos // 3, sha256(string_agg(node, '' ORDER BY pos)), (n + 2) // 3
+  FROM over_sources WHERE n > 1 GROUP BY lvl, pos // 3, n
+), low AS ({_beside("up", "source, ")}
+), high AS ({_beside("over_sources", "")}
+), steps AS (
+  SELECT l.source, l.pos, s.lvl AS step, s.before, s.after
+  FROM leaves l JOIN low s ON l.source IS NOT DISTINCT FROM s.source AND s.pos = l.pos // CAST(power(3, s.lvl) AS BIGINT)
+  UNION ALL
+  SELECT l.source, l.pos, 1000 + h.lvl, h.before, h.after
+  FROM leaves l JOIN sources s ON l.source IS NOT DISTINCT FROM s.source
+  JOIN high h ON h.pos = s.place // CAST(power(3, h.lvl) AS BIGINT)
+), paths AS (
+  SELECT source, pos, list(before || '|' || after ORDER BY step) AS sides, string_agg(before || after, '' ORDER BY step) AS beside
+  FROM steps GROUP BY source, pos
+), done AS (
+  SELECT l.doc_id, l.leaf, s.subroot, (SELECT node FROM over_sources WHERE n = 1) AS root,
+         sha256(coalesce(p.beside, '')) AS proof_sha256,
+         list_reduce(list_prepend(l.shown, coalesce(p.sides, [])),
+           lambda a, x: sha256(split_part(x, '|', 1) || a || split_part(x, '|', 2))) AS folded_root
+  FROM leaves l JOIN sources s ON l.source IS NOT DISTINCT FROM s.source
+  LEFT JOIN paths p ON l.source IS NOT DISTINCT FROM p.source AND l.pos = p.pos
+)
+SELECT *, folded_root = root AS verified FROM done
+"""
+
+_DROPPED = "CAST(h % length(w) AS BIGINT)"
+
+ORACLE["op13_spelling_variants"] = f"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]{{6,}}')), '{UPPER}', '{LOWER}') AS w
+  FROM documents
+), counted AS (
+  SELECT doc_id, w, count(*) AS n, CAST(doc_id AS VARCHAR) || ':' || w AS named FROM runs GROUP BY doc_id, w
+), hashed AS (
+  SELECT w, n, {_crc32(_octets("named"))} AS h FROM counted WHERE named IS NOT NULL
+  UNION ALL SELECT w, n, 1 FROM counted WHERE named IS NULL
+), words AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (
+    SELECT n, CASE WHEN h % 199 = 0 THEN substr(w, 1, {_DROPPED}) || substr(w, {_DROPPED} + 2) ELSE w END AS word FROM hashed)
+  WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5
+), places AS (
+  SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words
+), cuts AS (
+  SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM places
+), shorter AS (
+  SELECT DISTINCT c.word AS a, w.word AS b FROM cuts c JOIN words w ON c.rest = w.word
+), near AS (
+  SELECT a, b FROM shorter UNION SELECT b, a FROM shorter
+  UNION SELECT x.word, y.word FROM cuts x JOIN cuts y ON x.rest = y.rest AND x.i = y.i AND x.word <> y.word
+), best AS (
+  SELECT a, b, w.n AS b_n, count(*) OVER (PARTITION BY a) AS n_near,
+         row_number() OVER (PARTITION BY a ORDER BY w.n DESC, b) AS r FROM near JOIN words w ON w.word = b
+), forms AS (
+  SELECT w.word, w.n, coalesce(f.n_near, 0) AS n_near, CASE WHEN f.b_n >= 5 * w.n THEN f.b END AS form,
+         CASE WHEN f.b_n >= 5 * w.n THEN f.b_n END AS form_n
+  FROM words w LEFT JOIN best f ON f.a = w.word AND f.r = 1
+), ways AS (
+  SELECT word, form AS last_form, 1 AS step FROM forms WHERE form IS NOT NULL
+  UNION ALL SELECT ways.word, forms.form, step + 1 FROM ways JOIN forms ON forms.word = ways.last_form WHERE forms.form IS NOT NULL
+), ends AS (
+  SELECT word, arg_max(last_form, step) AS root FROM ways GROUP BY word
+)
+SELECT f.word, f.form, coalesce(e.root, f.word) AS root, f.n, f.n_near, f.form_n FROM forms f LEFT JOIN ends e USING (word)
+"""
