@@ -199,8 +199,8 @@ def manifest(
     last = over.tops.first()
     root = F.lit(bytes(last["top"]).decode() if last else "").cast("binary")
     lowest = over.paths(over.tops.select("grp", F.array().cast(SIBLINGS).alias("path")))
-    above = lowest.select(F.col("block").alias("_block"), "path")
-    by_label = opened(over.levels[0].join(above, F.col("block") == F.col("_block")), "tag", "path")
+    above = lowest.select(F.col("grp").alias("_grp"), F.col("block").alias("_block"), "path")
+    by_label = opened(over.levels[0].join(above, (F.col("grp") == F.col("_grp")) & (F.col("block") == F.col("_block"))), "tag", "path")
     ends = keep(by_label.select("tag.label", F.col("node").alias("subroot"), F.concat("beside", "path").alias("path")), "subroots")
 
     paths = rows.paths(ends.select(F.col("label").alias("grp"), "path"))
