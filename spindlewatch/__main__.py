@@ -64,7 +64,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
         csv_extract = f"{options.work.rstrip('/')}/{options.report}.csv"
         size_session(spark, options.raw)
         renames = dict(pair.split("=", 1) for pair in options.rename)
-        sources.ingest_extract(spark, options.raw, csv_extract, source, options.report, renames)
+        sources.ingest_extract(spark, options.raw, csv_extract, source, options.report, renames, follow_changes=True)
     size_session(spark, source)
     telemetry = sources.read_parquet(spark, source)
     outputs = jobs.Outputs(

@@ -88,7 +88,10 @@ def _deliver(outputs: Outputs, job: str, results: Sequence[Result], single_file:
                 write_csv(result.to_table(result.report), *targets, single_file=single_file)
         if outputs.store:
             cells = hashes.merge_panels(*[result.to_cells(result.report) for result in results])
-            hashes.append_batch(cells, f"{outputs.store.rstrip('/')}/report={job}", outputs.batch)
+            store = f"{outputs.store.rstrip('/')}/report={job}"
+            hashes.append_batch(cells, store, outputs.batch)
+            if outputs.batch is None:  # numbered batches may be run again, which folded ones can't
+                hashes.fold(cells.sparkSession, store)
         if outputs.connect:
             for result in results:
                 if result.to_hashes:

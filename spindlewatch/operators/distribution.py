@@ -7,18 +7,19 @@ from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql import Window
 
-QUARTILES = (0.25, 0.50, 0.75)
+from spindlewatch.operators.sketches import QUARTILES, percentile_name, sketched_stats, sketches
+from spindlewatch.storage import kept
+
+# Types whose values a sketch holds as they are.
+SKETCHED = (T.DoubleType, T.FloatType, T.IntegerType, T.ShortType, T.ByteType)
 
 # Largest number of (group, probability) rows that is broadcast.
 BROADCAST_ROWS = 10_000
 
 
-def percentile_name(probability: float) -> str:
-    return f"{probability * 100:g}th_percentile"
-
-
 def distribution_stats(
     df: DataFrame,
     column: str,
@@ -33,11 +34,14 @@ def distribution_stats(
     and adds a row of NULLs with count 0 for each one without rows; without
     ``by`` there is always exactly one row.
 
-    With ``accuracy`` the percentiles come from Spark's sketch, whose rank error
-    is at most rows/accuracy. Without it they are exact: the smallest value that
+    With ``accuracy`` the percentiles come from a sketch, whose rank error is about
+    rows/accuracy (see ``sketches``) and none for small groups. Without it they are exact: the smallest value that
     at least the given share of the rows does not exceed.
     """
-    stats = _sketch_stats if accuracy else _exact_stats
+    if accuracy:
+        stats = _sketch_stats
+    else:
+        stats = _exact_stats_of_many if by is not None and groups is None else _exact_stats
     if by is None:
         # Always 0, but computed: the optimizer folds a constant out of the join
         # on it, which leaves a join without an equality.
@@ -57,6 +61,20 @@ def global_stats(df: DataFrame, column: str) -> DataFrame:
 
 def _sketch_stats(
     rows: DataFrame, groups: Sequence[object] | None, probabilities: Sequence[float], accuracy: int
+) -> DataFrame:
+    """Sketches merged in levels for floating point and small integers; Spark's own function for other types."""
+    if not isinstance(rows.schema["_value"].dataType, SKETCHED):
+        return _approximated_stats(rows, groups, probabilities, accuracy)
+    stats = sketched_stats(sketches(rows, "_value", ["_group"], accuracy), ["_group"], probabilities)
+    if groups is not None:
+        counted = F.coalesce("count", F.lit(0)).cast("bigint")
+        stats = _empty_groups(rows, groups).join(stats, "_group", "left").withColumn("count", counted)
+    own_type = rows.schema["_value"].dataType
+    return _ordered(stats, [F.col(percentile_name(p)).cast(own_type) for p in probabilities], probabilities)
+
+
+def _approximated_stats(
+    rows: DataFrame, groups: Sequence[object] | None, probabilities: Sequence[float], accuracy: int
 ) -> DataFrame:
     if groups is not None:
         rows = rows.unionByName(_empty_groups(rows, groups).withColumn("_value", _null_of(rows, "_value")))
@@ -86,10 +104,59 @@ def _exact_stats(
         F.min("_value").alias("_low"), F.max("_value").alias("_high"), F.sum("_n").alias("_n")
     )
 
+    wanted = _located(buckets, probabilities).drop("_bucket")
+    if groups is not None and len(groups) * len(probabilities) <= BROADCAST_ROWS:
+        wanted = F.broadcast(wanted)
+
+    inside = F.col("_group").eqNullSafe(F.col("_in")) & F.col("_value").between(F.col("_low"), F.col("_high"))
+    running = Window.partitionBy("_group", "_which").orderBy("_value").rowsBetween(Window.unboundedPreceding, 0)
+    reached = (
+        ranged.join(wanted, inside)
+        .withColumn("_seen", F.col("_before") + F.sum("_n").over(running))
+        .where(F.col("_seen") >= F.col("_rank"))
+        .select("_group", "_which", "_value", "_min", "_max", "_total")
+    )
+    if groups is not None:
+        reached = reached.unionByName(_empty_groups(rows, groups), allowMissingColumns=True)
+    return _stats_of(reached, probabilities)
+
+
+def _exact_stats_of_many(
+    rows: DataFrame, _groups: None, probabilities: Sequence[float], _accuracy: None
+) -> DataFrame:
+    """Order statistics of any number of groups, some of which may be hot.
+
+    As above, but the histogram is stored with the number of its range partition,
+    its bucket. A wanted rank is found in two levels: the bucket, from the running
+    totals of each group over its buckets, and then the value, among the values
+    of that group and bucket. Both are reached by equality, so a group that lies
+    in many buckets is never gathered, and buckets hold bounded shares of all values.
+    """
+    histogram = rows.where(F.col("_value").isNotNull()).groupBy("_group", "_value").agg(F.count("*").alias("_n"))
+    ranged = kept(
+        histogram.repartitionByRange("_group", "_value").withColumn("_bucket", F.spark_partition_id()), "histogram"
+    )
+    buckets = ranged.groupBy("_bucket", "_group").agg(
+        F.min("_value").alias("_low"), F.max("_value").alias("_high"), F.sum("_n").alias("_n")
+    )
+    wanted = _located(buckets, probabilities).withColumnRenamed("_bucket", "_at")
+    running = Window.partitionBy("_group", "_bucket", "_which").orderBy("_value").rowsBetween(Window.unboundedPreceding, 0)
+    reached = (
+        ranged.join(wanted, F.col("_group").eqNullSafe(F.col("_in")) & (F.col("_bucket") == F.col("_at")))
+        .withColumn("_seen", F.col("_before") + F.sum("_n").over(running))
+        .where(F.col("_seen") >= F.col("_rank"))
+        .select("_group", "_which", "_value", "_min", "_max", "_total")
+    )
+    return _stats_of(reached, probabilities)
+
+
+def _located(buckets: DataFrame, probabilities: Sequence[float]) -> DataFrame:
+    """The bucket of each wanted rank: ``_in`` (the group), ``_bucket``, ``_low``, ``_high``, ``_which``, ``_rank``, and totals."""
     whole = Window.partitionBy("_group")
     upto = whole.orderBy("_low").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     located = buckets.select(
         F.col("_group").alias("_in"),
+        "_bucket",
         "_low",
         "_high",
         (F.sum("_n").over(upto) - F.col("_n")).alias("_before"),
@@ -101,22 +168,13 @@ def _exact_stats(
     # Decimal, as 0.1 * 30 in floating point lies above 3.
     shares = [F.ceil(F.lit(Decimal(str(p))) * F.col("_total")).cast("bigint") for p in probabilities]
     ranks = F.array(*[F.greatest(F.lit(1).cast("bigint"), share) for share in shares])
-    wanted = located.select("*", F.posexplode(ranks).alias("_which", "_rank")).where(
+    return located.select("*", F.posexplode(ranks).alias("_which", "_rank")).where(
         (F.col("_before") < F.col("_rank")) & (F.col("_rank") <= F.col("_through"))
     )
-    if groups is not None and len(groups) * len(probabilities) <= BROADCAST_ROWS:
-        wanted = F.broadcast(wanted)
 
-    inside = F.col("_group").eqNullSafe(F.col("_in")) & F.col("_value").between(F.col("_low"), F.col("_high"))
-    running = Window.partitionBy("_group", "_which").orderBy("_value").rowsBetween(Window.unboundedPreceding, 0)
-    reached = (
-        ranged.join(wanted, inside)
-        .withColumn("_seen", F.col("_before") + F.sum("_n").over(running))
-        .where(F.col("_seen") >= F.col("_rank"))
-        .select("_group", "_which", "_value", "_min", "_max", "_total")
-    )
-    if groups is not None:
-        reached = reached.unionByName(_empty_groups(rows, groups), allowMissingColumns=True)
+
+def _stats_of(reached: DataFrame, probabilities: Sequence[float]) -> DataFrame:
+    """One row per group from the values at or behind each wanted rank."""
     stats = reached.groupBy("_group").agg(
         F.max("_min").alias("min"),
         *[F.min(F.when(F.col("_which") == i, F.col("_value"))).alias(f"_p{i}") for i in range(len(probabilities))],

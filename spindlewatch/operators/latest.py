@@ -10,6 +10,8 @@ many ties, and the join splits a hot (key, instant) pair at run time.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -17,10 +19,13 @@ from pyspark.sql import Window
 # Groups that the rows of a key are dealt over while they are reduced to its newest.
 SPREAD = 16
 
-# Copies of each failed key. They let the rows of a hot key meet it in as many
-# tasks even where run-time splitting is off.
+# Tasks that the rows of a hot key are dealt over, even where run-time splitting is off.
 FLAG_SALTS = 16
 
+# A key is hot if it owns more than this share of the rows, which no more than 400 keys can.
+HOT_SHARE = 1 / 400
+TRACKED = 16_384  # keys that a counting task keeps at a time
+
 
 def latest_instants(df: DataFrame, key: str = "serial_number", instant: str = "data", name: str = "max_date") -> DataFrame:
     """The newest instant of every key, NULL where none is known."""
@@ -29,7 +34,7 @@ def latest_instants(df: DataFrame, key: str = "serial_number", instant: str = "d
 
 def latest_rows(df: DataFrame, key: str = "serial_number", instant: str = "data") -> DataFrame:
     """Every row at the newest instant of its key: ties stay, a NULL key or instant drops."""
-    return _join_newest(df, key, instant, {}).select(*df.columns)
+    return newest_with_facts(df, key, instant, {}).select(*df.columns)
 
 
 def latest_rows_with_history(
@@ -41,7 +46,7 @@ def latest_rows_with_history(
     joined once.
     """
     facts = {"_ever_failed": F.bool_or(F.col(failure) == 1)}
-    joined = _join_newest(df, key, instant, facts)
+    joined = newest_with_facts(df, key, instant, facts)
     return joined.withColumn(failure, _flagged(F.col("_ever_failed"), failure)).select(*df.columns)
 
 
@@ -50,22 +55,38 @@ def failed_keys(df: DataFrame, key: str = "serial_number", failure: str = "failu
     return df.where(F.col(failure) == 1).select(key).distinct()
 
 
+def hot_keys(rows: DataFrame, key: str, share: float = HOT_SHARE) -> list:
+    """Keys that own more than ``share`` of the rows: a list of bounded length, whatever the input.
+
+    One pass over the key column, with a frequent-items sketch that combines
+    before its shuffle. It misses no such key; a key a little below may be in the list.
+    """
+    most = int(1 / share)
+    found = rows.where(F.col(key).isNotNull()).agg(
+        F.expr(f"approx_top_k(`{key}`, {most}, {TRACKED})").alias("top"), F.count("*").alias("n")
+    ).first()
+    return [item["item"] for item in found["top"] or [] if item["count"] > share * found["n"]]
+
+
 def flag_ever_failed(
     rows: DataFrame,
     history: DataFrame,
     key: str = "serial_number",
     failure: str = "failure",
     salts: int = FLAG_SALTS,
+    hot: Sequence[object] | None = None,
 ) -> DataFrame:
     """Set failure to 1 on rows whose key failed in ``history``; other rows stay as they are.
 
-    The failed keys are copied once per salt and every row draws its salt from
-    its own values, which splits the rows of a hot key over ``salts`` tasks.
+    Failed keys that are hot in ``rows`` are copied once per salt, and a row of a
+    hot key draws its salt from its own values, which splits them over ``salts``
+    tasks. All other keys are there once. ``hot`` gives the hot keys where they
+    are known; otherwise ``rows`` are counted first.
     """
-    copies = failed_keys(history, key, failure).select(
-        F.col(key).alias("_failed"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_copy")
-    )
-    salt = F.pmod(F.xxhash64(*rows.columns), F.lit(salts)).cast("int")
+    if hot is None:
+        hot = hot_keys(rows, key)
+    copies = salted_keys(failed_keys(history, key, failure), key, hot, salts)
+    salt = F.when(F.col(key).isin(*hot), F.pmod(F.xxhash64(*rows.columns), F.lit(salts)).cast("int")).otherwise(0)
     matched = rows.withColumn("_salt", salt).join(
         copies, (F.col(key) == F.col("_failed")) & (F.col("_salt") == F.col("_copy")), "left_outer"
     )
@@ -73,7 +94,14 @@ def flag_ever_failed(
     return matched.withColumn(failure, kept).select(*rows.columns)
 
 
-def _join_newest(df: DataFrame, key: str, instant: str, facts: dict[str, Column]) -> DataFrame:
+def salted_keys(keys: DataFrame, key: str, hot: Sequence[object], salts: int) -> DataFrame:
+    """(_failed, _copy): a hot key once per salt, every other key once."""
+    last = F.when(F.col(key).isin(*hot), salts - 1).otherwise(0)
+    return keys.select(F.col(key).alias("_failed"), F.explode(F.sequence(F.lit(0), last)).alias("_copy"))
+
+
+def newest_with_facts(df: DataFrame, key: str, instant: str, facts: dict[str, Column]) -> DataFrame:
+    """Latest rows with aggregates over all rows of their key; the columns added for the join stay."""
     per_key = (
         df.where(F.col(key).isNotNull())
         .groupBy(F.col(key).alias("_key"))

@@ -96,16 +96,25 @@ ORACLE = {
     "hours_by_cohort_sketch": COHORTS
     + """SELECT "min", "max", "count", failure, TRUE AS "25th_percentile_within",
                 TRUE AS "50th_percentile_within", TRUE AS "75th_percentile_within" FROM cohorts""",
+    "hours_by_cohort_daily_sketch": COHORTS
+    + """SELECT *, CAST(0 AS DOUBLE) AS "25th_percentile_rank_error", CAST(0 AS DOUBLE) AS "50th_percentile_rank_error",
+                CAST(0 AS DOUBLE) AS "75th_percentile_rank_error" FROM cohorts""",
     # Sources
     "scan_parquet": "SELECT l_orderkey, l_suppkey, l_returnflag FROM lineitem",
     "ingest_extract": TELEMETRY
     + "SELECT instant AS data, serial_number, failure, hours AS s9_power_on_hours FROM t",
     "ingest_if_absent": TELEMETRY
     + """SELECT vault_id, count(*) AS observations, CAST(sum(failure) AS BIGINT) AS failures,
-                TRUE AS built_first, FALSE AS built_again FROM t GROUP BY vault_id""",
+                TRUE AS built_first, FALSE AS built_again,
+                TRUE AS built_for_renames, TRUE AS built_for_new_raw FROM t GROUP BY vault_id""",
+    "ingest_by_month": TELEMETRY
+    + """SELECT day AS data, count(*) AS observations, CAST(sum(failure) AS BIGINT) AS failures
+         FROM t WHERE year(day) = 1996 OR (year(day) IN (1994, 1995) AND vault_id % 2 = 0) GROUP BY day""",
     # File sinks
     "csv_roundtrip": DAILY
     + "SELECT data, vault_id, failures_count, CAST(unnest([1, 2]) AS INTEGER) AS copy FROM daily",
+    "csv_published_copies": DAILY
+    + "SELECT data, vault_id, failures_count, CAST(unnest([1, 2]) AS INTEGER) AS copy FROM daily",
     "csv_single_file": COHORTS + "SELECT *, CAST(0 AS INTEGER) AS part FROM cohorts",
     # Keyed hashes
     "hash_rows_daily": DAILY + DAILY_CELLS,
@@ -118,6 +127,10 @@ ORACLE = {
                 CAST(coalesce(models.total_failures, observed.n) AS VARCHAR) AS value
          FROM (SELECT model, count(*) AS n FROM t GROUP BY model) observed
          LEFT JOIN models ON models.model = observed.model""",
+    "hash_store_batches": TELEMETRY
+    + """SELECT 'query2' AS key, model AS field, CAST(arg_max(n, share) AS VARCHAR) AS value
+         FROM (SELECT model, vault_id % 20 AS share, count(*) AS n FROM t WHERE failure = 1 GROUP BY model, vault_id % 20)
+         GROUP BY model""",
     "hash_scan_keys": DAILY + "SELECT DISTINCT 'query1:' || data || ':' || vault_id AS key FROM daily",
     "hash_get_all": VAULTS
     + """SELECT 'query2.2:' || vault_id AS key, CAST(vault_id AS VARCHAR) AS "vaultId",
@@ -156,9 +169,15 @@ ORACLE = {
          FROM t WHERE failure = 1 GROUP BY vault_id""",
     "latest_rows": LATEST + "SELECT instant AS data, serial_number, failure, hours AS s9_power_on_hours FROM latest",
     "failed_flag": LATEST
+    + """SELECT instant AS data, serial_number, CAST(greatest(failure, ever_failed) AS INTEGER) AS failure,
+                hours AS s9_power_on_hours FROM latest""",
+    "latest_rows_kept": LATEST
     + """SELECT instant AS data, serial_number, CAST(greatest(failure, ever_failed) AS INTEGER) AS failure,
                 hours AS s9_power_on_hours FROM latest""",
     # Aggregates
+    "totals_by_increments": TELEMETRY
+    + """SELECT vault_id, model, CAST(sum(failure) AS BIGINT) AS failures, CAST(sum(failure) AS BIGINT) AS failed,
+                count(*) AS observations FROM t GROUP BY vault_id, model""",
     "sum_by_day_vault": TELEMETRY
     + """SELECT day AS data, vault_id, CAST(sum(failure) AS BIGINT) AS failures_count
          FROM t GROUP BY day, vault_id""",
@@ -175,5 +194,6 @@ ORACLE = {
     + 'SELECT min(hours) AS "min", max(hours) AS "max", count(hours) AS "count" FROM t',
     "percentiles_exact": TELEMETRY + f"SELECT {QUARTILES} FROM t",
     "percentiles_approx": TELEMETRY + f"SELECT {QUARTILES}, vault_id FROM t GROUP BY vault_id",
+    "percentiles_by_drive": TELEMETRY + f"SELECT {QUARTILES}, serial_number FROM t GROUP BY serial_number",
     "stats_by_cohort": TELEMETRY + f"SELECT {QUARTILES}, failure FROM t GROUP BY failure",
 }

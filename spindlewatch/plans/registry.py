@@ -7,13 +7,14 @@ they read back.
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spindlewatch import operators as ops
-from spindlewatch import sources
+from spindlewatch import sources, storage
 from spindlewatch.functions import (
     as_double,
     as_int,
@@ -26,8 +27,9 @@ from spindlewatch.functions import (
 )
 from spindlewatch.plans import reports
 from spindlewatch.sinks import hashes, write_csv
+from spindlewatch.sinks.published import publish_copies, published_folder
 from spindlewatch.sources.sample import load_error_events, load_telemetry
-from spindlewatch.storage import scratch_folder
+from spindlewatch.storage import kept, scratch_folder
 
 HOURS = "s9_power_on_hours"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,6 +105,16 @@ def hours_by_cohort_sketch(spark, sf_dir):
     return counted.select("min", "max", "count", "failure", *within)
 
 
+@query
+def hours_by_cohort_daily_sketch(spark, sf_dir):
+    """The hours report from one stored sketch per day and cohort, with the measured rank error of each percentile."""
+    latest = ops.latest_rows_with_history(hours_input(spark, sf_dir))
+    days = latest.select(F.col("data").cast("date").alias("day"), "failure", HOURS)
+    stored = kept(ops.sketches(days, HOURS, ["day", "failure"]), "sketches")
+    stats = ops.sketched_stats(ops.combined(stored, ["failure"]), ["failure"])
+    return ops.measured_rank_errors(stats, days.where(f"{HOURS} is not null"), HOURS, "failure")
+
+
 # Sources
 
 
@@ -124,14 +136,38 @@ def ingest_if_absent(spark, sf_dir):
     target = scratch_folder(spark, "ingest")
     _write_raw(spark, sf_dir, f"{target}/raw")
     stages = (f"{target}/raw", f"{target}/csv", f"{target}/parquet", "rankings")
-    first = sources.ingest_extract(spark, *stages)
-    again = sources.ingest_extract(spark, *stages)
+
+    def built(renames=None):
+        return sources.ingest_extract(spark, *stages, renames, follow_changes=True)
+
+    first, again = built(), built()
+    renamed = built({"date": "data"})
+    _write_raw(spark, sf_dir, f"{target}/raw")
+    changed = built({"date": "data"})
     rows = sources.read_parquet(spark, f"{target}/parquet")
     return rows.groupBy("vault_id").agg(
         F.count("*").alias("observations"),
         F.sum("failure").alias("failures"),
         F.lit(all(first.values())).alias("built_first"),
         F.lit(any(again.values())).alias("built_again"),
+        F.lit(all(renamed.values())).alias("built_for_renames"),
+        F.lit(all(changed.values())).alias("built_for_new_raw"),
+    )
+
+
+@query
+def ingest_by_month(spark, sf_dir):
+    """A delivery of everything, then one that corrects two years: there only even vaults are left. Three years are read."""
+    target = scratch_folder(spark, "ingest")
+    extract = f"{target}/extract"
+    _write_raw(spark, sf_dir, f"{target}/raw")
+    sources.ingest_days(spark, f"{target}/raw", extract, "all", "daily", {"date": "data"}, "month")
+    corrected = F.year(parse_day("date")).isin(1994, 1995) & (F.col("vault_id") % 2 == 0)
+    write_csv(load_telemetry(spark, sf_dir).withColumnRenamed("data", "date").where(corrected), f"{target}/more")
+    sources.ingest_days(spark, f"{target}/more", extract, "corrected", "daily", {"date": "data"}, "month")
+    rows = sources.read_extract_days(spark, extract, "daily", datetime.date(1994, 1, 1), datetime.date(1996, 12, 31))
+    return rows.groupBy(F.col("data").cast("date").alias("data")).agg(
+        F.count("*").alias("observations"), F.sum("failure").alias("failures")
     )
 
 
@@ -155,6 +191,25 @@ def csv_roundtrip(spark, sf_dir):
     return read[0].unionByName(read[1])
 
 
+@query
+def csv_published_copies(spark, sf_dir):
+    """Two versions of a report in two copies, one below another scheme; readers of both go by one manifest."""
+    target = scratch_folder(spark, "published")
+    storage.make_folder(spark, f"{target}/mounted")
+    copies = [f"{target}/here", f"{storage.mount(spark, f'{target}/mounted')}/there"]
+    report = daily_vault_failures(spark, sf_dir)
+    publish_copies(report.limit(0), copies)
+    publish_copies(report, copies)
+    read = [
+        spark.read.schema(report.schema)
+        .option("header", True)
+        .csv(published_folder(spark, copies[0], copy))
+        .withColumn("copy", F.lit(number))
+        for number, copy in enumerate(copies, 1)
+    ]
+    return read[0].unionByName(read[1])
+
+
 @query
 def csv_single_file(spark, sf_dir):
     target = scratch_folder(spark, "cohorts")
@@ -221,6 +276,20 @@ def _stored(spark, *batches):
     return hashes.read_store(spark, store)
 
 
+@query
+def hash_store_batches(spark, sf_dir):
+    """Twenty batches into one store that is folded as it grows: a batch has the failures of each model in its share of vaults."""
+    store = scratch_folder(spark, "cells")
+    failed = telemetry(spark, sf_dir, "model", "vault_id", "failure").where(F.col("failure") == 1)
+    counted = failed.groupBy("model", F.pmod("vault_id", F.lit(20)).alias("share")).agg(F.count("*").alias("n"))
+    counted = kept(counted, "shares")
+    for share in range(20):
+        batch = counted.where(F.col("share") == share)
+        hashes.append_batch(hashes.single_hash(batch, hashes.MODELS_KEY, "model", "n"), store)
+        hashes.fold(spark, store)
+    return hashes.read_store(spark, store, hashes.MODELS_KEY)
+
+
 @query
 def hash_scan_keys(spark, sf_dir):
     cells = _stored(spark, _daily_cells(spark, sf_dir), _vault_cells(spark, sf_dir))
@@ -348,6 +417,17 @@ def latest_rows(spark, sf_dir):
     return ops.latest_rows(hours_input(spark, sf_dir)).withColumn("data", wall_clock("data"))
 
 
+@query
+def latest_rows_kept(spark, sf_dir):
+    """Latest rows and failure flag from a state that three deliveries were merged into, the newest one first."""
+    state = scratch_folder(spark, "newest")
+    rows = hours_input(spark, sf_dir).withColumn("data", wall_clock("data"))
+    year = F.year("data")
+    for part in (year >= 1997, year < 1995, year.between(1995, 1996)):
+        ops.merge_newest(rows.where(part), state, buckets=8)
+    return ops.read_newest(spark, state)
+
+
 @query
 def failed_flag(spark, sf_dir):
     history = hours_input(spark, sf_dir)
@@ -358,6 +438,18 @@ def failed_flag(spark, sf_dir):
 # Aggregates
 
 
+@query
+def totals_by_increments(spark, sf_dir):
+    """Totals by vault and model from partial sums of months; three deliveries, one of them sent twice."""
+    table = scratch_folder(spark, "totals")
+    rows = telemetry(spark, sf_dir, "data", "vault_id", "model", "failure").withColumn("data", parse_instant("data"))
+    year = F.year("data")
+    parts = [year < 1995, year.between(1995, 1996), year >= 1997]
+    for number in (0, 1, 2, 1):
+        ops.add_to_totals(rows.where(parts[number]), table, f"part{number}", "month")
+    return ops.read_totals(spark, table, ["vault_id", "model"])
+
+
 @query
 def sum_by_day_vault(spark, sf_dir):
     rows = telemetry(spark, sf_dir, "data", "vault_id", "failure").withColumn("data", parse_day("data"))
@@ -411,6 +503,12 @@ def percentiles_approx(spark, sf_dir):
     return ops.distribution_stats(telemetry(spark, sf_dir, "vault_id", HOURS), HOURS, "vault_id", accuracy=10_000)
 
 
+@query
+def percentiles_by_drive(spark, sf_dir):
+    """Exact percentiles of very many groups."""
+    return ops.distribution_stats(telemetry(spark, sf_dir, "serial_number", HOURS), HOURS, "serial_number")
+
+
 @query
 def stats_by_cohort(spark, sf_dir):
     rows = telemetry(spark, sf_dir, "failure", HOURS)

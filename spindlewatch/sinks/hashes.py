@@ -9,11 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spindlewatch import storage
 from spindlewatch.functions import joined_text, key_text
+from spindlewatch.sinks.sending import send_cells
+from spindlewatch.sinks.store import append_batch, current_cells, fold, read_store, vacuum  # noqa: F401  the stored form
 
 # Keys and field names the dashboard reads.
 DAILY_PREFIX = "query1"
@@ -77,16 +78,6 @@ def to_cells(hashes: DataFrame) -> DataFrame:
     return hashes.select("key", F.explode("fields").alias("field", "value")).where(F.col("value").isNotNull())
 
 
-def current_cells(batches: DataFrame) -> DataFrame:
-    """Cells after all batches: the last batch that set a field wins, other fields stay.
-
-    Takes cells with a ``batch`` number. Grouping by key and field spreads even
-    a single hash over all tasks, and running a batch again changes nothing.
-    """
-    newest = F.max_by("value", F.struct("batch", "value"))
-    return batches.groupBy("key", "field").agg(newest.alias("value"))
-
-
 def upsert_cells(stored: DataFrame, new: DataFrame) -> DataFrame:
     """Stored cells with the new ones set on top."""
     both = stored.select("key", "field", "value", F.lit(0).alias("batch")).unionByName(
@@ -95,24 +86,6 @@ def upsert_cells(stored: DataFrame, new: DataFrame) -> DataFrame:
     return current_cells(both)
 
 
-def append_batch(cells: DataFrame, uri: str, batch: int | None = None) -> None:
-    """Store one batch of cells as a partition of the table at ``uri``.
-
-    Without a number the batch follows the largest one stored, so nothing is
-    lost; a rerun under an explicit number replaces that batch.
-    """
-    if batch is None:
-        names = storage.children(cells.sparkSession, uri)
-        stored = [int(name.removeprefix("batch=")) for name in names if name.startswith("batch=")]
-        batch = max(stored, default=0) + 1
-    cells.select("key", "field", "value").write.mode("overwrite").parquet(f"{uri.rstrip('/')}/batch={batch}")
-
-
-def read_store(spark: SparkSession, uri: str) -> DataFrame:
-    """Current cells of the table at ``uri``."""
-    return current_cells(spark.read.parquet(uri))
-
-
 def matching(pattern: str) -> Column:
     """Condition on ``key``: an exact key, or every key with a prefix if the pattern ends in ``*``."""
     prefix = pattern.removesuffix("*")
@@ -145,29 +118,14 @@ def merge_panels(*panels: DataFrame) -> DataFrame:
     return merged
 
 
-def write_hashes(hashes: DataFrame, connect: Callable[[], object]) -> None:
-    """Set every hash of a hash table in a key-value store, from the tasks.
+def write_hashes(hashes: DataFrame, connect: Callable[[], object], marker: str | None = None) -> None:
+    """Set every hash of a hash table in a key-value store, from the tasks, in bounded batches.
 
-    ``connect`` is called once per partition and returns a client with
-    ``hset(key, mapping=fields)`` and, optionally, ``close()``. Setting a field
-    twice is harmless, so a retried task is.
+    Setting a field twice is harmless, so a retried task is. See ``sending.send_cells``.
     """
-
-    def send(rows) -> None:
-        client = connect()
-        try:
-            for row in rows:
-                fields = {name: value for name, value in row["fields"].items() if value is not None}
-                if fields:
-                    client.hset(row["key"], mapping=fields)
-        finally:
-            close = getattr(client, "close", None)
-            if close is not None:
-                close()
-
-    hashes.select("key", "fields").foreachPartition(send)
+    write_cells(to_cells(hashes), connect, marker)
 
 
-def write_cells(cells: DataFrame, connect: Callable[[], object]) -> None:
-    """``write_hashes`` for cells: one field at a time, so no hash is gathered."""
-    write_hashes(cells.select("key", F.create_map("field", "value").alias("fields")), connect)
+def write_cells(cells: DataFrame, connect: Callable[[], object], marker: str | None = None) -> None:
+    """``write_hashes`` for cells. A hash is sent in as many batches as it needs, so none is gathered."""
+    send_cells(cells, connect, marker=marker)
