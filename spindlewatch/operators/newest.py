@@ -22,7 +22,6 @@ from spindlewatch import storage
 from spindlewatch.operators.latest import newest_with_facts
 
 VERSIONS = "_versions"
-BUCKETS = 64
 EVER = "_ever_failed"
 
 
@@ -32,7 +31,7 @@ def merge_newest(
     key: str = "serial_number",
     instant: str = "data",
     failure: str = "failure",
-    buckets: int = BUCKETS,
+    buckets: int | None = None,
 ) -> int:
     """Merge rows into the state at ``uri`` and return the number of its new version.
 
@@ -40,7 +39,8 @@ def merge_newest(
     replace those that are there. So the state equals that of all deliveries in
     one table, in whatever order they come, and merging one again changes
     nothing. Rows without a key are dropped. Of a key without a dated row only
-    the fact that it failed is kept.
+    the fact that it failed is kept. There are as many buckets as shuffle
+    partitions unless ``buckets`` says otherwise; with fewer, Spark shuffles the state after all.
     """
     spark = delivery.sparkSession
     rows = delivery.where(F.col(key).isNotNull())
@@ -64,6 +64,7 @@ def merge_newest(
         ever = F.col(EVER) | F.coalesce("_failed", F.lit(False))
         both = [part.withColumn(EVER, ever).select(*delivery.columns, EVER) for part in (met.where(stays), fresh.where(comes))]
         whole = both[0].unionByName(both[1])
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     return _publish(whole, uri, version + 1, key, buckets)
 
 

@@ -78,18 +78,20 @@ def measured_rank_errors(
     0 where the value is exact. The rows are counted against the values once,
     without sorting; ``stats`` has one row per group.
     """
-    marks = stats.select(F.col(by).alias("_by"), *[F.col(percentile_name(p)).alias(f"_{i}") for i, p in enumerate(probabilities)])
     counted: list[Column] = []
-    for i in range(len(probabilities)):
-        counted.append(F.count(F.when(F.col(column) < F.col(f"_{i}"), 1)).alias(f"_below{i}"))
-        counted.append(F.count(F.when(F.col(column) <= F.col(f"_{i}"), 1)).alias(f"_upto{i}"))
-    ranks = rows.select(F.col(by).alias("_by"), column).join(marks, "_by").groupBy("_by").agg(*counted)
+    for i, p in enumerate(probabilities):
+        name = percentile_name(p)
+        counted.append(F.count(F.when(F.col("_value") < F.col(name), 1)).alias(f"_below{i}"))
+        counted.append(F.count(F.when(F.col("_value") <= F.col(name), 1)).alias(f"_upto{i}"))
+    values = rows.select(F.col(by).alias("_by"), F.col(column).alias("_value"))
+    # The statistics are used once: a sketch that is merged again may give other values.
+    ranks = values.join(stats, F.col("_by").eqNullSafe(F.col(by))).groupBy(*stats.columns).agg(*counted)
     errors = []
     for i, p in enumerate(probabilities):
         wanted = F.greatest(F.lit(1), F.ceil(F.lit(p) * F.col("count")))
         off = F.greatest(F.lit(0), F.col(f"_below{i}") + 1 - wanted, wanted - F.col(f"_upto{i}"))
         errors.append((off / F.col("count")).alias(f"{percentile_name(p)}_rank_error"))
-    return stats.join(ranks, F.col(by) == F.col("_by")).select(*stats.columns, *errors)
+    return ranks.select(*stats.columns, *errors)
 
 
 def _merged(partial: DataFrame, by: Sequence[str]) -> DataFrame:

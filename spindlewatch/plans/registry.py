@@ -424,7 +424,7 @@ def latest_rows_kept(spark, sf_dir):
     rows = hours_input(spark, sf_dir).withColumn("data", wall_clock("data"))
     year = F.year("data")
     for part in (year >= 1997, year < 1995, year.between(1995, 1996)):
-        ops.merge_newest(rows.where(part), state, buckets=8)
+        ops.merge_newest(rows.where(part), state)
     return ops.read_newest(spark, state)
 
 

@@ -7,10 +7,10 @@ import random
 from fractions import Fraction
 
 import pytest
-from samples import values
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from samples import values
 
 from spindlewatch.operators import QUARTILES, distribution_stats, global_stats
 
@@ -61,6 +61,20 @@ def test_exact_percentiles_of_many_groups(spark, buckets):
     assert found == {g: brute([v for k, v in rows if k == g]) for g in {k for k, _ in rows}}
 
 
+def test_exact_percentiles_of_a_hundred_thousand_groups_one_of_them_hot(spark, buckets):
+    rows = spark.range(450_000, numPartitions=8).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN -1 ELSE id % 100000 END AS g", "cast(id * 7919 % 450007 as double) AS v"
+    )
+    found = distribution_stats(rows, "v", "g")
+    local: dict[int, list[float]] = {}
+    for g, v in rows.toPandas().itertuples(index=False):
+        local.setdefault(g, []).append(v)
+    picked = found.toPandas()
+    assert len(picked) == len(local) == 100_001
+    for row in picked.itertuples(index=False):
+        assert tuple(row)[:-1] == brute(local[row[-1]])
+
+
 @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(
     numbers=st.lists(st.one_of(st.none(), st.integers(-30, 30).map(float)), max_size=60),

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from spindlewatch import sources
 from spindlewatch.functions import parse_instant
-from spindlewatch.operators import flag_ever_failed, latest_rows_with_history
+from spindlewatch.operators import distribution_stats, failed_keys, flag_ever_failed, hot_keys, latest_rows_with_history
+from spindlewatch.operators.latest import salted_keys
 from spindlewatch.plans import daily_vault_failures, hours_by_cohort, rank_vaults, top_models
 from spindlewatch.plans.registry import QUERIES
 
@@ -152,6 +153,45 @@ def test_salts_spread_a_hot_drive(spark, hot):
         assert flagged.where("serial_number = 'HOT'").select("failure").distinct().collect()[0][0] == 1
 
 
+def test_only_hot_keys_are_copied(spark, hot):
+    assert hot_keys(hot, "serial_number") == ["HOT"]
+    assert hot_keys(hot.where("serial_number <> 'HOT'"), "serial_number", 1 / 100) == []
+    assert hot_keys(hot.where("FALSE"), "serial_number") == []
+    failed = failed_keys(hot)
+    copies = salted_keys(failed, "serial_number", ["HOT"], 16)
+    assert copies.count() == failed.count() + 15
+    assert copies.where("_copy > 0").select("_failed").distinct().collect()[0][0] == "HOT"
+
+
+def test_no_more_keys_are_hot_than_the_share_allows(spark):
+    keys = spark.range(20_000).selectExpr("cast(id % 50 as string) as k")
+    assert len(hot_keys(keys, "k", 1 / 60)) == 50
+    assert hot_keys(keys, "k", 1 / 40) == []
+
+
+def test_a_hot_drive_is_dealt_with_splitting_off(spark, hot):
+    """By the salts alone: without them one task would have a third of all rows."""
+    settings = {
+        "spark__sql__adaptive__enabled": "false",
+        "spark__sql__shuffle__partitions": "32",
+        "spark__sql__autoBroadcastJoinThreshold": "-1",
+    }
+    with configured(spark, **settings):
+        flagged = flag_ever_failed(hot, hot)
+        tasks = values(flagged.groupBy(F.spark_partition_id()).count())
+        plain = values(flag_ever_failed(hot, hot, hot=[]).groupBy(F.spark_partition_id()).count())
+        assert sum(n for _, n in tasks) == ROWS
+        assert max(n for _, n in plain) > ROWS / 3 > 2 * max(n for _, n in tasks)
+        assert sorted(values(flagged)) == sorted(values(flag_ever_failed(hot, hot, hot=[])))
+
+
+def test_ranks_of_many_groups_are_joined_by_group_and_bucket(spark, hot):
+    with configured(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        text = plan(distribution_stats(hot, "s9_power_on_hours", "serial_number"))
+    joins = [line for line in text.splitlines() if "Join" in line]
+    assert joins and all("_bucket" in line and "_at" in line for line in joins)
+
+
 def test_hours_report_on_a_hot_drive_equals_brute_force(spark, hot):
     rows = values(hot.select("data", "serial_number", "failure", "s9_power_on_hours"))
     newest: dict[str, str] = {}
