@@ -65,6 +65,13 @@ def slices(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
         yield start, len(sizes)
 
 
+def plain_uri(uri: str) -> str:
+    """``file:/x`` as ``file:///x``, and a bare path as well, which is the form that all file systems take."""
+    if uri.startswith("/"):
+        return f"file://{uri}"
+    return uri.replace("file:/", "file:///", 1) if uri.startswith("file:/") and not uri.startswith("file://") else uri
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, component) for links (a, b): the smallest node that each linked node reaches.
 

@@ -20,7 +20,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spindlewatch.llm.common import keep, query, table
+from spindlewatch.llm.common import keep, plain_uri, query, table
 from spindlewatch.storage import scratch_folder
 
 RECORDS_A_FILE = 5_000
@@ -34,7 +34,8 @@ def write_archives(pages: DataFrame, uri: str) -> None:
     Of equal payloads (the html in UTF-8, null is empty) the row with the smallest
     id is a response, the others are revisits without payload. Rows with a null
     id are left out. A row that is repeated whole gives a record each time, and its
-    id is a response in each if it is the smallest. Payloads are compared by SHA-1 and size. Only ids and digests are
+    id is a response in each if it is the smallest. Rows with one id and different
+    payloads are different pages: a record is told by its id and digest together. Payloads are compared by SHA-1 and size. Only ids and digests are
     shuffled for that, and then the pages once, by id.
     """
     rows = pages.where("page_id is not null").select(
@@ -43,8 +44,8 @@ def write_archives(pages: DataFrame, uri: str) -> None:
     payload = F.col("html").cast("binary")
     digests = keep(rows.select("page_id", F.sha1(payload).alias("sha"), F.octet_length("html").alias("bytes")), "digests")
     first = keep(digests.groupBy("sha", "bytes").agg(F.min("page_id").alias("first_id"), F.count("*").alias("n")).where("n > 1"), "first")
-    again = digests.join(first, ["sha", "bytes"]).where("page_id <> first_id").select("page_id", "first_id").dropDuplicates(["page_id"])
-    joined = rows.join(again, "page_id", "left").withColumn("sha", F.sha1(payload))
+    again = digests.join(first, ["sha", "bytes"]).where("page_id <> first_id").select("page_id", "sha", "bytes", "first_id").distinct()
+    joined = rows.withColumns({"sha": F.sha1(payload), "bytes": F.octet_length("html")}).join(again, ["page_id", "sha", "bytes"], "left")
     digest = _base32("sha")
     is_response = F.col("first_id").isNull()
     line = lambda name, value: F.concat(F.lit(name + ": "), value, F.lit("\r\n"))
@@ -143,8 +144,8 @@ def normalise(spark: SparkSession, source: str, target: str) -> DataFrame:
     def run(batches):
         for batch in batches:
             for path in batch.column("path").to_pylist():
-                reader, name = fs.FileSystem.from_uri(_plain(path))
-                writer, folder = fs.FileSystem.from_uri(_plain(target))
+                reader, name = fs.FileSystem.from_uri(plain_uri(path))
+                writer, folder = fs.FileSystem.from_uri(plain_uri(target))
                 archive = f"{folder.rstrip('/')}/{uuid.uuid4().hex}.warc.gz"
                 rows, at, parser = [], 0, RecordParser()
                 with reader.open_input_stream(name, compression=None) as stream, writer.open_output_stream(archive, compression=None) as out:
@@ -160,7 +161,7 @@ def normalise(spark: SparkSession, source: str, target: str) -> DataFrame:
                     kinds = (pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string())
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["archive", "offset", "length", "record_id", "record_type"])
 
-    folder_system, folder_name = fs.FileSystem.from_uri(_plain(target))
+    folder_system, folder_name = fs.FileSystem.from_uri(plain_uri(target))
     folder_system.create_dir(folder_name, recursive=True)
     listed = spark.createDataFrame([(p,) for p in paths], "path string").repartition(max(1, len(paths)))
     index = listed.mapInArrow(run, INDEX)
@@ -168,11 +169,6 @@ def normalise(spark: SparkSession, source: str, target: str) -> DataFrame:
     return spark.read.schema(INDEX).parquet(f"{target.rstrip('/')}/index")
 
 
-def _plain(uri: str) -> str:
-    """``file:/x`` as ``file:///x``, which is the form that all file systems take."""
-    return uri.replace("file:/", "file:///", 1) if uri.startswith("file:/") and not uri.startswith("file://") else uri
-
-
 def read_records(index: DataFrame, target: str) -> DataFrame:
     """(page_id, record_type, refers_to, payload_digest, payload_bytes, payload) of each indexed record, by its offset.
 
@@ -182,7 +178,7 @@ def read_records(index: DataFrame, target: str) -> DataFrame:
     """
 
     def run(batches):
-        system, folder = fs.FileSystem.from_uri(_plain(target))
+        system, folder = fs.FileSystem.from_uri(plain_uri(target))
         for batch in batches:
             rows = []
             ordered = sorted(zip(*(batch.column(c).to_pylist() for c in ("archive", "offset", "length"))))
@@ -222,7 +218,9 @@ def op4_warc_normaliser(spark, sf_dir):
     index = normalise(spark, whole, normal)
     read = keep(read_records(index, normal).drop("payload"), "records")
     # A revisit's size is that of the response it refers to.
-    sizes = read.where("record_type = 'response'").select(F.col("page_id").alias("refers_to"), F.col("payload_bytes").alias("of_response"))
-    revisits = read.where("record_type = 'revisit'").join(sizes, "refers_to", "left").withColumn("payload_bytes", F.col("of_response"))
+    sizes = read.where("record_type = 'response'").select(
+        F.col("page_id").alias("refers_to"), "payload_digest", F.col("payload_bytes").alias("of_response")
+    )
+    revisits = read.where("record_type = 'revisit'").join(sizes.distinct(), ["refers_to", "payload_digest"], "left").withColumn("payload_bytes", F.col("of_response"))
     columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
     return read.where("record_type = 'response'").select(*columns).unionByName(revisits.select(*columns))
