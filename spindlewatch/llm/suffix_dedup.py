@@ -4,7 +4,8 @@ Two suffixes are compared by their longest common extension, which a binary
 search over prefix polynomial hashes finds in a logarithmic number of steps; a
 mergesort uses that comparison. Neighbours in suffix order with a common
 extension of a whole window hold a repeated string, and their bytes are compared
-once more, so that no hash collision removes anything.
+once more, so that no collision of these hashes removes anything. Whole equal
+blocks, which are most copies, are told by digests of 128 bits before the sort.
 
 Suffixes are brought together by content: all windows that may be equal lie in
 blocks with one anchor hash (see ``blocks``), and only suffixes at the same place
@@ -45,11 +46,11 @@ def blocks_in(texts: list[bytes], width: int, gram: int):
         yield data, found, text[found.start] + low, found.start - offsets[text[found.start]]
 
 
-def digests(data: np.ndarray, blocks: Blocks, width: int) -> np.ndarray:
+def digests(data: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Digests of 128 bits of ranges of bytes, as two columns of numbers."""
     whole = memoryview(data)
-    ends = (blocks.start + blocks.windows + width - 1).tolist()
-    joined = b"".join(hashlib.blake2b(whole[s:e], digest_size=8).digest() for s, e in zip(blocks.start.tolist(), ends))
-    return np.frombuffer(joined, np.int64)
+    joined = b"".join(hashlib.blake2b(whole[s:e], digest_size=16).digest() for s, e in zip(low.tolist(), high.tolist()))
+    return np.frombuffer(joined, np.int64).reshape(-1, 2).T
 
 
 def common_extension(prefix: Prefix, x: np.ndarray, y: np.ndarray, most: int) -> np.ndarray:
@@ -144,11 +145,12 @@ def remove_repeats(
     another place too, in the same or another text. Overlapping strings count
     and all are judged on the input. Null and empty texts have 0 bytes. A row
     with a null id is returned unchanged and isn't compared. A row repeated with
-    its id counts as another place, so both lose what they share.
+    its id counts as another place, so both lose what they share. Rows with one
+    id and different texts are different places too, and each loses its own spans.
     """
-    rows = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).cast("string").alias("text"))
+    rows = with_digest(docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).cast("string").alias("text")))
     spans = repeated_spans(rows, width, gram)
-    return rows.join(spans, "id", "left").mapInArrow(
+    return rows.join(spans, ["id", "own"], "left").mapInArrow(
         _removed(), "id long, n_bytes long, n_removed long, n_spans long, kept binary"
     ).withColumnRenamed("id", id_column)
 
@@ -159,25 +161,32 @@ def cut_repeats(docs: DataFrame, width: int = 400, gram: int | None = None) -> D
     The first place is that with the smallest ``doc_id`` and then the smallest
     offset. Characters are removed whole or stay. ``n_chars`` is counted anew, if
     there. A row that loses its whole text goes; texts that were empty or null
-    stay, as do rows with a null id.
+    stay, as do rows with a null id. Of rows with one id and different texts,
+    that with the smaller digest is the earlier one, and each is cut by its own
+    spans. Other columns may have any name.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
-    spans = repeated_spans(rows, width, gram, spare_first=True).select(F.col("id").alias("_cut_id"), F.col("spans").alias("_cut_spans"))
+    rows = with_digest(docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text")))
+    spans = repeated_spans(rows, width, gram, spare_first=True)
     names = docs.columns
-    joined = docs.join(spans, docs["doc_id"] == spans["_cut_id"], "left").select(*[docs[c] for c in names], "_cut_spans")
+    # The row travels as a struct, so that no column of it can clash with those of the join.
+    whole = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col("doc_id").cast("long").alias("id"), F.xxhash64(F.col("text").cast("string")).alias("own")
+    )
+    joined = whole.join(spans, ["id", "own"], "left").select(*[F.col("row").getField(c).alias(f"{i}") for i, c in enumerate(names)], "spans")
+    text_at = str(names.index("text"))
 
     def run(batches):
-        for batch in small(batches):
-            texts, kept, out = batch.column("text").to_pylist(), [], []
-            for text, spans in zip(batch.column("text").cast(pa.binary()).to_pylist(), batch.column("_cut_spans").to_pylist()):
+        for batch in small(batches, text_at):
+            texts, kept, out = batch.column(text_at).to_pylist(), [], []
+            for text, spans in zip(batch.column(text_at).cast(pa.binary()).to_pylist(), batch.column("spans").to_pylist()):
                 rest = text if text is None or not spans else whole_characters_left(text, [(s["low"], s["high"]) for s in spans])
                 kept.append(not text or bool(rest))
                 out.append(rest)
-            columns = {c: batch.column(c) for c in names}
-            columns["text"] = pa.array(out, pa.binary()).cast(batch.schema.field("text").type)
+            columns = {c: batch.column(str(i)) for i, c in enumerate(names)}
+            columns["text"] = pa.array(out, pa.binary()).cast(batch.schema.field(text_at).type)
             if "n_chars" in columns:
                 counts = [n if a == b else len(b) for n, a, b in zip(columns["n_chars"].to_pylist(), texts, columns["text"].to_pylist())]
-                columns["n_chars"] = pa.array(counts, batch.schema.field("n_chars").type)
+                columns["n_chars"] = pa.array(counts, columns["n_chars"].type)
             yield pa.RecordBatch.from_arrays(list(columns.values()), names).filter(pa.array(kept, pa.bool_()))
 
     return joined.mapInArrow(run, docs.schema)
@@ -208,12 +217,18 @@ def union(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+def with_digest(rows: DataFrame) -> DataFrame:
+    """(id, own, text): ``own`` tells rows with one id and different texts apart."""
+    return rows.select("id", F.xxhash64("text").alias("own"), "text")
+
+
 def repeated_spans(rows: DataFrame, width: int, gram: int | None = None, spare_first: bool = False) -> DataFrame:
-    """(id, spans): the byte spans of each of ``rows`` (id, text) that repeated strings cover.
+    """(id, own, spans): the byte spans of each of ``rows`` (id, own, text) that repeated strings cover.
 
     1. Anchor hashes that occur once are found by a count and drop out with
        their blocks, which leaves the repeated part of the corpus.
-    2. Equal blocks are collapsed by digest; each occurrence is removed whole.
+    2. Equal blocks are collapsed by a digest of 128 bits, which stands for their
+       bytes; each occurrence is removed whole.
     3. Of anchors with several different blocks, one of each goes through the
        suffix sort. An anchor with very many blocks is split by the place of
        the window, beyond that by the window's content, so that no group grows
@@ -227,35 +242,37 @@ def repeated_spans(rows: DataFrame, width: int, gram: int | None = None, spare_f
     counted = known.mapInArrow(_keys(width, gram), "key long").groupBy("key").agg(F.count("*").alias("times"))
     # Kept, because Spark splits a hot key of a join only if no aggregate shares the join's stage.
     repeated = keep(counted.where("times > 1").select("key"), "repeated-keys")
-    blocks = known.mapInArrow(_blocks(width, gram), "id long, key long, digest long, start int, windows int, anchor int")
+    blocks = known.mapInArrow(_blocks(width, gram), "id long, own long, key long, digest long, check long, start int, windows int, anchor int")
     again = keep(blocks.join(repeated, "key"), "repeated-anchors")
     different = keep(
-        again.groupBy("key", "digest").agg(F.count("*").alias("times"), F.min(F.struct("id", "start", "windows", "anchor")).alias("r")),
+        again.groupBy("key", "digest", "check").agg(F.count("*").alias("times"), F.min(F.struct("id", "own", "start", "windows", "anchor")).alias("r")),
         "different-blocks",
     )
     several = different.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     compared = keep(
         different.join(keep(several, "several"), "key")
-        .select("key", "digest", "n", "r.*")
-        .groupBy("id")
-        .agg(F.collect_list(F.struct("key", "digest", "n", "start", "windows", "anchor")).alias("blocks")),
+        .select("key", "n", "r.*")
+        .groupBy("id", "own")
+        .agg(F.collect_list(F.struct("key", "n", "start", "windows", "anchor")).alias("blocks")),
         "compared-blocks",
     )
     cut = keep(
-        known.dropDuplicates(["id"]).join(compared, "id").mapInArrow(_cut(width, gram), "key long, id long, start int, windows int, anchor int, bytes binary"),
+        known.dropDuplicates(["id", "own"])
+        .join(compared, ["id", "own"])
+        .mapInArrow(_cut(width, gram), "key long, id long, own long, start int, windows int, anchor int, bytes binary"),
         "block-bytes",
     )
     total = cut.agg(F.sum(F.length("bytes") + 64 * F.col("windows"))).first()[0] or 0
     groups = max(1, -(-int(total) // GROUP_BYTES))
     sorted_ = cut.groupBy(F.pmod(F.col("key"), F.lit(groups)).alias("group")).applyInPandas(
-        _sorter(width, spare_first), "id long, low long, high long"
+        _sorter(width, spare_first), "id long, own long, low long, high long"
     )
-    doubled = different.where("times > 1").select("key", "digest", F.col("r.id").alias("first_id"), F.col("r.start").alias("first_start"))
-    equal = again.join(keep(doubled, "doubled"), ["key", "digest"])
+    doubled = different.where("times > 1").select("key", "digest", "check", F.struct("r.id", "r.own", "r.start").alias("first"))
+    equal = again.join(keep(doubled, "doubled"), ["key", "digest", "check"])
     if spare_first:
-        equal = equal.where("id <> first_id or start <> first_start")
-    equal = equal.select("id", F.col("start").cast("long").alias("low"), (F.col("start") + F.col("windows") + F.lit(width - 1)).cast("long").alias("high"))
-    return keep(equal.unionByName(sorted_).groupBy("id").agg(F.collect_set(F.struct("low", "high")).alias("spans")), "spans")
+        equal = equal.where(F.struct("id", "own", "start") != F.col("first"))
+    equal = equal.select("id", "own", F.col("start").cast("long").alias("low"), (F.col("start") + F.col("windows") + F.lit(width - 1)).cast("long").alias("high"))
+    return keep(equal.unionByName(sorted_).groupBy("id", "own").agg(F.collect_set(F.struct("low", "high")).alias("spans")), "spans")
 
 
 def _keys(width: int, gram: int):
@@ -270,30 +287,34 @@ def _keys(width: int, gram: int):
 def _blocks(width: int, gram: int):
     def run(batches):
         for batch in small(batches):
-            ids = batch.column("id").to_numpy(zero_copy_only=False)
+            ids, own = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("id", "own"))
             for data, blocks, text, start in blocks_in(texts_of(batch), width, gram):
+                digest, check = digests(data, blocks.start, blocks.start + blocks.windows + width - 1)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(ids[text]),
+                        pa.array(own[text]),
                         pa.array(blocks.key.view(np.int64)),
-                        pa.array(digests(data, blocks, width)),
+                        pa.array(digest),
+                        pa.array(check),
                         pa.array(start.astype(np.int32)),
                         pa.array(blocks.windows.astype(np.int32)),
                         pa.array(blocks.anchor.astype(np.int32)),
                     ],
-                    ["id", "key", "digest", "start", "windows", "anchor"],
+                    ["id", "own", "key", "digest", "check", "start", "windows", "anchor"],
                 )
 
     return run
 
 
 def _cut(width: int, gram: int):
-    names = ["key", "id", "start", "windows", "anchor", "bytes"]
+    names = ["key", "id", "own", "start", "windows", "anchor", "bytes"]
 
     def run(batches):
         for batch in small(batches):
             out, held = [], 0
-            for identity, text, blocks in zip(batch.column("id").to_pylist(), texts_of(batch), batch.column("blocks").to_pylist()):
+            columns = (batch.column(c).to_pylist() for c in ("id", "own", "blocks"))
+            for identity, own, blocks, text in zip(*columns, texts_of(batch)):
                 for b in blocks:
                     by_place, by_content = parts_of(b["n"], width - gram + 1)
                     # Windows whose anchor lies equally far behind their start share a part.
@@ -308,7 +329,7 @@ def _cut(width: int, gram: int):
                         label = b["key"].to_bytes(8, "little", signed=True) + part.to_bytes(8, "little")
                         if by_content > 1:
                             label += (hash_of(piece) % by_content).to_bytes(8, "little")
-                        out.append((hash_of(label) >> 1, identity, start, count, distance, piece))
+                        out.append((hash_of(label) >> 1, identity, own, start, count, distance, piece))
                         held += len(piece)
                         at += count
                 if held > 4 << 20:
@@ -325,13 +346,13 @@ def hash_of(data: bytes) -> int:
 
 
 def _rows(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
-    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
 
 def _sorter(width: int, spare_first: bool):
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["id", "start"], ignore_index=True)
+        group = group.sort_values(["id", "own", "start"], ignore_index=True)
         pieces_ = group["bytes"].tolist()
         data = np.frombuffer(b"".join(pieces_), np.uint8)
         base = np.cumsum([0, *map(len, pieces_[:-1])])
@@ -347,9 +368,9 @@ def _sorter(width: int, spare_first: bool):
         first = np.flatnonzero(new)
         last = np.append(first[1:], len(hit)) - 1
         start = group["start"].to_numpy(np.int64)[item[hit]] + nth[hit]
-        return pd.DataFrame(
-            {"id": group["id"].to_numpy()[item[hit[first]]], "low": start[first], "high": start[last] + width} if len(hit) else {"id": [], "low": [], "high": []}
-        ).astype("int64")
+        at = item[hit[first]]
+        spans = {"id": group["id"].to_numpy()[at], "own": group["own"].to_numpy()[at], "low": start[first], "high": start[last] + width}
+        return pd.DataFrame(spans).astype("int64")
 
     return run
 
