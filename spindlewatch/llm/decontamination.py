@@ -9,6 +9,7 @@ on the order of its parts in the document.
 
 from __future__ import annotations
 
+import re
 from collections import defaultdict
 
 import numpy as np
@@ -20,14 +21,24 @@ from spindlewatch.llm.common import keep, query, slices, small, table, texts_of
 from spindlewatch.llm.hashing import Words, sequences
 
 LEAST = 5
+SHORTEST = 3
 COVERAGE = 0.6
 FILTER_BITS = 1 << 22  # size of the seed filter that tasks get, whatever the benchmark's size
 # ASCII other than letters, digits and space becomes a space, A-Z lower case; other bytes stay.
 _PLAIN = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
+# Characters of scripts without spaces (CJK and its neighbours, Thai, Lao, Burmese, Khmer), each a word of its own.
+_APART = re.compile(
+    rb"[\xe3-\xe9][\x80-\xbf]{2}|\xe0[\xb8-\xbb][\x80-\xbf]|\xe1[\x80-\x82\x9e\x9f][\x80-\xbf]|\xf0[\x80-\xbf]{3}"
+)
+
+
+def plain(text: bytes) -> bytes:
+    """``text`` with its words between spaces."""
+    return _APART.sub(rb" \g<0> ", text).translate(_PLAIN)
 
 
 def word_hashes(text: bytes) -> np.ndarray:
-    return Words([text.translate(_PLAIN)]).hashes()
+    return Words([plain(text)]).hashes()
 
 
 def tiles(item: np.ndarray, text: np.ndarray, least: int) -> list[tuple[int, int, int]]:
@@ -85,20 +96,28 @@ def _free_runs(words, free, length):
     return hashed[at], at
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, least: int = LEAST, coverage: float = COVERAGE) -> DataFrame:
+def contaminated(
+    docs: DataFrame, benchmark: DataFrame, least: int = LEAST, coverage: float = COVERAGE, shortest: int = SHORTEST
+) -> DataFrame:
     """(doc_id, item_id, coverage, tiles) of the documents that hold at least that share of an item's words.
 
-    Words are runs of letters and digits, without case in ASCII. Null or empty
-    texts, rows without an id and items of fewer than ``least`` words match
-    nothing. Repeated rows count once.
+    Words are runs of letters and digits, without case in ASCII; in scripts
+    without spaces every character is a word. An item of fewer than ``least``
+    words is its own seed and has to be there whole, in one run. Items of fewer
+    than ``shortest`` words, which chance alone puts into many texts, match
+    nothing, as do null or empty texts and rows without an id. Repeated rows count
+    once. Of rows with one id and different texts, the smallest text is taken;
+    of items likewise.
 
     Seeds of all documents pass a filter of fixed size before they are joined
     with the benchmark's, so only few of them are shuffled, and neither side has
     to fit anywhere. Words under shared seeds bound the coverage from above, so
     texts are fetched only for the pairs that can reach it.
     """
-    items = benchmark.where("item_id is not null").select(F.col("item_id").cast("long").alias("item_id"), "text").dropDuplicates(["item_id"])
-    seeds = keep(items.mapInArrow(_item_seeds(least), "item_id long, n int, seed long, place int"), "seeds")
+    items = benchmark.where("item_id is not null").select(F.col("item_id").cast("long").alias("item_id"), "text")
+    items = items.groupBy("item_id").agg(F.min("text").alias("text"))
+    seeds = keep(items.mapInArrow(_item_seeds(least, shortest), "item_id long, n int, seed long, place int"), "seeds")
+    lengths = [r.n for r in seeds.where(F.col("n") < least).select("n").distinct().collect()]  # fewer than ``least``
     slot = F.pmod("seed", F.lit(FILTER_BITS)) + 1  # bitmaps count from 1
     chunks = (
         seeds.groupBy(F.bitmap_bucket_number(slot).alias("no"))
@@ -106,8 +125,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: int = LEAST, cove
         .collect()  # FILTER_BITS bits at most
     )
     rows = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    shared = rows.mapInArrow(_doc_seeds(least, {c.no: bytes(c.bits) for c in chunks}), "doc_id long, seed long")
-    under = F.array_distinct(F.flatten(F.transform("places", lambda p: F.sequence(p, p + (least - 1)))))
+    shared = rows.mapInArrow(_doc_seeds([*sorted(lengths), least], {c.no: bytes(c.bits) for c in chunks}), "doc_id long, seed long")
+    under = F.array_distinct(F.flatten(F.transform("places", lambda p: F.sequence(p, p + F.least(F.lit(least), F.col("n")) - 1))))
     pairs = keep(
         shared.join(seeds, "seed")
         .groupBy("doc_id", "item_id")
@@ -116,7 +135,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: int = LEAST, cove
         .select("doc_id", "item_id"),
         "pairs",
     )
-    texts = pairs.join(rows.dropDuplicates(["doc_id"]), "doc_id").join(items.withColumnRenamed("text", "item"), "item_id")
+    held = rows.join(pairs.select("doc_id").distinct(), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"))
+    texts = pairs.join(held, "doc_id").join(items.withColumnRenamed("text", "item"), "item_id")
     return texts.mapInArrow(_tiled(least), "doc_id long, item_id long, coverage double, tiles int").where(F.col("coverage") >= coverage)
 
 
@@ -126,12 +146,14 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
 
 
-def _item_seeds(least: int):
+def _item_seeds(least: int, shortest: int):
     def run(batches):
         for batch in small(batches):
             for item, text in zip(batch.column("item_id").to_pylist(), texts_of(batch)):
                 words = word_hashes(text)
-                runs = sequences(words, least)
+                if len(words) < shortest:
+                    continue
+                runs = sequences(words, min(least, len(words)))
                 n = len(runs)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([item] * n, pa.int64()), pa.array([len(words)] * n, pa.int32()), pa.array(runs.view(np.int64)), pa.array(range(n), pa.int32())],
@@ -141,7 +163,7 @@ def _item_seeds(least: int):
     return run
 
 
-def _doc_seeds(least: int, chunks: dict[int, bytes]):
+def _doc_seeds(lengths: list[int], chunks: dict[int, bytes]):
     def run(batches):
         bits = np.zeros(FILTER_BITS, bool)
         for no, chunk in chunks.items():  # each holds 32,768 positions
@@ -150,13 +172,14 @@ def _doc_seeds(least: int, chunks: dict[int, bytes]):
             texts = texts_of(batch)
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
             for low, high in slices([len(t) for t in texts], 1 << 20):
-                words = Words([t.translate(_PLAIN) for t in texts[low:high]])
-                runs = sequences(words.hashes(), least).view(np.int64)
-                text = words.of_text()
-                inside = text[: len(runs)] == text[least - 1 :] if len(runs) else np.zeros(0, bool)
-                hit = np.flatnonzero(inside & bits[runs % FILTER_BITS])
-                if len(hit):
-                    yield pa.RecordBatch.from_arrays([pa.array(ids[low + text[hit]]), pa.array(runs[hit])], ["doc_id", "seed"])
+                words = Words([plain(t) for t in texts[low:high]])
+                hashes, text = words.hashes(), words.of_text()
+                for length in lengths:
+                    runs = sequences(hashes, length).view(np.int64)
+                    inside = text[: len(runs)] == text[length - 1 :] if len(runs) else np.zeros(0, bool)
+                    hit = np.flatnonzero(inside & bits[runs % FILTER_BITS])
+                    if len(hit):
+                        yield pa.RecordBatch.from_arrays([pa.array(ids[low + text[hit]]), pa.array(runs[hit])], ["doc_id", "seed"])
 
     return run
 
@@ -167,7 +190,7 @@ def _tiled(least: int):
             share, count = [], []
             for item, text in zip(texts_of(batch, "item"), texts_of(batch)):
                 words = word_hashes(item)
-                found = tiles(words, word_hashes(text), least)
+                found = tiles(words, word_hashes(text), min(least, len(words)))
                 share.append(sum(n for _, _, n in found) / len(words) if len(words) else 0.0)
                 count.append(len(found))
             yield pa.RecordBatch.from_arrays(
