@@ -107,14 +107,20 @@ class Network:
         return logits
 
     def gradients(self, data: np.ndarray, labels: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
-        """Mean loss over positions and its gradients, by backpropagation through time."""
+        """Mean loss over positions and its gradients, by backpropagation through time.
+
+        A byte 0 is padding: the layers read it, as they do behind a whole text's
+        end, but its position counts for nothing.
+        """
         n = self.hidden
         traces = {"f": [], "b": []}
         states = np.concatenate([self.states(data, s, traces[s]) for s in "fb"], axis=2)
         p = self._softmax(states)
-        positions = data.size
-        loss = -float(np.log(p[:, np.arange(len(labels)), labels] + 1e-9).mean())
+        inside = data != 0
+        positions = max(1, int(inside.sum()))
+        loss = -float((np.log(p[:, np.arange(len(labels)), labels] + 1e-9) * inside).sum() / positions)
         p[:, np.arange(len(labels)), labels] -= 1
+        p *= inside[:, :, None]
         p /= positions
         grads = {"out": np.einsum("tbh,tbl->hl", states, p), "bias": p.sum(axis=(0, 1))}
         above = p @ self.weights["out"].T
@@ -187,7 +193,11 @@ class Network:
 
 
 def fitted(docs: DataFrame) -> tuple[list[str], Network | None]:
-    """Languages and a network trained on ``TEXTS`` texts of each, at most, drawn by a hash of the id."""
+    """Languages and a network trained on ``TEXTS`` texts of each, at most, drawn by a hash of the id.
+
+    Of a drawn text ``CHUNKS`` pieces of ``TRAIN_CHUNK`` bytes are learnt from,
+    evenly spread over all of it; a shorter text is one padded piece.
+    """
     known = docs.where("doc_id is not null and lang is not null and text is not null").where(fold("doc_id", 3) != 1)
     by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     drawn = known.select("doc_id", "lang").withColumn("no", F.row_number().over(by_hash)).where(F.col("no") <= TEXTS)
@@ -211,8 +221,10 @@ def _chunked(batches):
     for batch in small(batches):
         out = []
         for identity, lang, text in zip(batch.column("doc_id").to_pylist(), batch.column("lang").to_pylist(), texts_of(batch)):
-            last = len(text) - TRAIN_CHUNK
-            places = np.unique(np.linspace(0, last, CHUNKS).astype(int)) if last >= 0 else []
+            if not text:
+                continue
+            text = text.ljust(TRAIN_CHUNK, b"\0")
+            places = np.unique(np.linspace(0, len(text) - TRAIN_CHUNK, CHUNKS).astype(int))
             out += [(identity, lang, text[p : p + TRAIN_CHUNK]) for p in places]
         if out:
             yield pa.RecordBatch.from_arrays(
