@@ -64,6 +64,71 @@ def rake(cells: DataFrame, powers: dict[str, float] = POWERS, rounds: int = ROUN
     return out.select(*cells.columns, "weight")
 
 
+def targets_of(cells: DataFrame, shares: dict[str, dict[str, float]]) -> DataFrame:
+    """(dimension, value, target): tokens each value should have, from shares of one per dimension.
+
+    A value of the cells that no share names has the share 0. Values that the
+    cells don't have are listed too, as they can't be met.
+    """
+    total = cells.agg(F.sum("tokens").cast("double").alias("total"))
+    rows = [(name, value, float(share)) for name, own in shares.items() for value, share in own.items()]
+    for name, own in shares.items():
+        if name not in DIMENSIONS or min(own.values(), default=0) < 0 or abs(sum(own.values()) - 1) > 1e-6:
+            raise ValueError(f"shares of {name} have to be of a known dimension, not negative, and add up to 1")
+    given = cells.sparkSession.createDataFrame(rows, "dimension string, value string, share double")
+    found = None
+    for name in shares:
+        values = cells.groupBy(F.lit(name).alias("dimension"), F.col(name).alias("value")).agg(F.sum("tokens").alias("tokens"))
+        found = values if found is None else found.unionByName(values)
+    met = found.join(given, ["dimension", "value"], "full")
+    known = met.withColumn("total", F.lit(total.first()["total"] or 0.0))
+    return known.select("dimension", "value", (F.coalesce("share", F.lit(0.0)) * F.col("total")).alias("target"), F.coalesce("tokens", F.lit(0)).alias("tokens"))
+
+
+def rake_to(
+    cells: DataFrame, shares: dict[str, dict[str, float]], tolerance: float = 1e-3, most: int = 400
+) -> tuple[DataFrame, DataFrame, float]:
+    """Rakes ``cells`` to target shares of tokens by dimension and value until all are met within ``tolerance``.
+
+    Returns the cells with ``weight``, a report (dimension, value, target,
+    reached, error, possible), and the largest error. Errors are shares of all
+    tokens. ``possible`` is false for a value with a target but without tokens;
+    targets can also contradict each other, and then the error stays above the
+    tolerance after ``most`` rounds. Nothing is raised: the caller decides by the error.
+    """
+    if not shares:
+        raise ValueError("no targets")
+    targets = keep(targets_of(cells, shares), "targets")
+    out = cells.withColumn("weight", F.col("tokens").cast("double"))
+    done, error, before = 0, float("inf"), float("inf")
+    while True:
+        report = _report(out, targets, shares)
+        before, error = error, report.agg(F.max("error")).first()[0] or 0.0
+        if error <= tolerance or done >= most or (done >= 64 and before - error < 1e-9):
+            return out, report, float(error)
+        for _ in range(8):
+            for name in shares:
+                own = targets.where(F.col("dimension") == name).select(F.col("value").alias("_value"), "target")
+                now = F.sum("weight").over(Window.partitionBy(name))
+                met = out.join(own, F.col(name) == F.col("_value"), "left")
+                scaled = F.when(F.col("weight") > 0, F.col("weight") * F.col("target") / now).otherwise(0.0)
+                out = met.withColumn("weight", scaled).select(*cells.columns, "weight")
+        done += 8
+        out = keep(out, "raked")
+
+
+def _report(cells: DataFrame, targets: DataFrame, shares: dict[str, dict[str, float]]) -> DataFrame:
+    reached = None
+    for name in shares:
+        values = cells.groupBy(F.lit(name).alias("dimension"), F.col(name).alias("value")).agg(F.sum("weight").alias("reached"))
+        reached = values if reached is None else reached.unionByName(values)
+    total = targets.groupBy("dimension").agg(F.sum("tokens").alias("_total"))
+    joined = targets.join(reached, ["dimension", "value"], "left").join(total, "dimension")
+    off = F.abs(F.coalesce("reached", F.lit(0.0)) - F.col("target")) / F.greatest(F.col("_total"), F.lit(1))
+    possible = (F.col("target") == 0) | (F.col("tokens") > 0)
+    return joined.select("dimension", "value", "target", F.coalesce("reached", F.lit(0.0)).alias("reached"), off.alias("error"), possible.alias("possible"))
+
+
 def probabilities(raked: DataFrame, share: float = TOKEN_SHARE) -> DataFrame:
     """``raked`` with ``probability``: min(1, c * weight / tokens), c such that the expected tokens are that share.
 
@@ -95,10 +160,12 @@ def draw(id_column: str = "doc_id", seed: str = SEED) -> Column:
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32))
 
 
-def mixed(docs: DataFrame) -> DataFrame:
+def mixed(docs: DataFrame, shares: dict[str, dict[str, float]] | None = None, tolerance: float = 1e-3) -> DataFrame:
     """Per row of ``docs``: ``doc_id``, the cell, ``n_tokens``, ``probability`` and ``kept``.
 
-    Null sources and languages are cells of their own, named by empty text.
+    Without ``shares`` the targets are ``POWERS`` of the table's own totals, raked
+    ``ROUNDS`` times. With them, tokens are raked to those shares by dimension and
+    value, and shares that can't be met within the tolerance are an error. Null sources and languages are cells of their own, named by empty text.
     Texts without words have no weight and are kept. Repeated rows and repeated
     ids are drawn alike. An empty table gives an empty result.
     """
@@ -106,7 +173,7 @@ def mixed(docs: DataFrame) -> DataFrame:
     # Kept, a few bytes a row, so that texts are measured once for both the cells and the draw.
     rows = keep(docs.select("doc_id", *_cell(), n_tokens().alias("n_tokens")), "measured")
     drawn = draw() < F.col("probability")
-    return _with_probability(rows).select("doc_id", *DIMENSIONS, "n_tokens", "probability", drawn.alias("kept"))
+    return _with_probability(rows, shares, tolerance).select("doc_id", *DIMENSIONS, "n_tokens", "probability", drawn.alias("kept"))
 
 
 def sample(docs: DataFrame) -> DataFrame:
@@ -120,9 +187,16 @@ def _cell() -> list[Column]:
     return [*known, topic().alias("topic_cell")]
 
 
-def _with_probability(rows: DataFrame) -> DataFrame:
+def _with_probability(rows: DataFrame, shares: dict[str, dict[str, float]] | None = None, tolerance: float = 1e-3) -> DataFrame:
     cells = rows.groupBy(*DIMENSIONS).agg(F.sum("n_tokens").alias("tokens"))
-    chances = keep(probabilities(rake(cells)).select(*DIMENSIONS, F.round("probability", 6).alias("probability")), "cells")
+    if shares is None:
+        raked = rake(cells)
+    else:
+        raked, report, error = rake_to(keep(cells, "token-cells"), shares, tolerance)
+        if error > tolerance:
+            worst = report.orderBy(F.desc("error"), "dimension", "value").first()
+            raise ValueError(f"target missed by {error:.4f} of all tokens: {worst}")
+    chances = keep(probabilities(raked).select(*DIMENSIONS, F.round("probability", 6).alias("probability")), "cells")
     few = chances.limit(BROADCAST_CELLS + 1).count() <= BROADCAST_CELLS
     return rows.join(F.broadcast(chances) if few else chances, list(DIMENSIONS))
 
