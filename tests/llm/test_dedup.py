@@ -182,7 +182,55 @@ def test_hot_keys_are_split_by_content_beyond_their_anchor_places():
     common = [f"w{i}" for i in range(24)]
     texts = [" ".join(["a", *common, "b"]), " ".join(["c", "d", *common, "e"])]
     block = lambda first: [{"key": 7, "n": 1_000_000, "start": first, "windows": 5, "anchor": 14}]
-    batch = pa.RecordBatch.from_pylist([{"id": i, "text": t, "blocks": block(i + 1)} for i, t in enumerate(texts)])
+    batch = pa.RecordBatch.from_pylist([{"id": i, "own": 0, "text": t, "blocks": block(i + 1)} for i, t in enumerate(texts)])
     rows = [r for out in phrase_dedup._cut(20, 4)(iter([batch])) for r in out.to_pylist()]
     parts = [[(r["key"], r["bytes"]) for r in rows if r["id"] == i] for i in (0, 1)]
     assert len(parts[0]) == 5 and parts[0] == parts[1] and all(r["windows"] == 1 for r in rows)
+
+
+def test_rows_with_one_id_and_different_texts_lose_their_own_spans(spark, documents):
+    """Brute force over places (id, digest, offset): each row is cut by its own spans and by no other's."""
+    shared = " ".join(f"w{i}" for i in range(40))
+    other = " ".join(f"x{i}" for i in range(61))
+    part = " ".join(shared.split()[:28])
+    rows = [(3, f"{shared} one"), (3, other), (3, "short"), (5, f"two {shared}"), (7, None), (7, part)]
+    docs = documents(rows)
+    data = [(i, (t or "").encode()) for i, t in rows]
+    width, places = 60, {}
+    for n, (_, text) in enumerate(data):
+        for p in range(len(text) - width + 1):
+            places.setdefault(text[p : p + width], []).append((n, p))
+    wanted = []
+    for n, (i, text) in enumerate(data):
+        gone = covered(len(text), [p for at in places.values() if len(at) > 1 for m, p in at if m == n], width)
+        spans = sum(g and not before for g, before in zip(gone, [False, *gone]))
+        wanted.append((i, len(text), sum(gone), spans, bytes(b for b, g in zip(text, gone) if not g)))
+    found = [(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in remove_repeats(docs, width=width).collect()]
+    assert sorted(found) == sorted(wanted)
+
+    words = {(r.doc_id, r.n_words): r.n_removed for r in remove_repeated_passages(docs).collect()}
+    assert words == {(3, 41): 0, (3, 61): 0, (3, 1): 0, (5, 41): 40, (7, 0): 0, (7, 28): 28}
+
+    cut = sorted((r.doc_id, r.text or "") for r in cut_repeats(docs, width).collect())
+    assert cut == [(3, "short"), (3, f"{shared} one"), (3, other), (5, "two "), (7, "")]
+
+
+def test_columns_of_any_name_stay(documents):
+    docs = documents([(1, "a" * 90), (2, "a" * 90)]).selectExpr("*", "'q' as _cut_id", "1 as spans2", "'z' as own", "7 as `row.x`")
+    out = cut_repeats(docs, 50)
+    assert out.columns == docs.columns
+    assert [(r.doc_id, r._cut_id, r.own, r["row.x"]) for r in out.collect()] == [(1, "q", "z", 7)]
+
+
+def test_phrases_of_long_texts_are_found_by_pieces(documents, monkeypatch):
+    from spindlewatch.llm import blocks
+
+    monkeypatch.setattr(phrase_dedup, "PIECE", 600)
+    monkeypatch.setattr(blocks, "PIECE", 100)
+    rows, width = corpus(), 8
+    long = [b" ".join([t.encode() for _, t in rows if t])]
+    cut = {(int(s), int(n)) for _, b, _, starts in phrase_dedup.blocks_in(long, width, 3) for s, n in zip(starts, b.windows)}
+    count = len(WORD.findall(long[0]))
+    assert sorted(s + k for s, n in cut for k in range(n)) == list(range(count - width + 1))
+    found = {r.doc_id: r for r in remove_repeated_passages(documents([(1, "new " + long[0].decode()), (2, long[0].decode())]), width=width, gram=3).collect()}
+    assert (found[2].n_words, found[2].n_removed) == (count, count) and found[1].n_words == count + 1

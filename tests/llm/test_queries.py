@@ -1,0 +1,307 @@
+"""Operators that SQL can't express and the pipeline: odd rows, held-out rows, brute force where rows are defined."""
+
+from __future__ import annotations
+
+import itertools
+import re
+import zlib
+
+import pytest
+from pyspark.sql import types as T
+
+import corpus_pipeline
+from spindlewatch.llm import language, quality, toxicity
+from spindlewatch.llm.common import table
+from spindlewatch.llm.decontamination import contaminated, drop_contaminated
+from spindlewatch.llm.language import predict_language
+from spindlewatch.llm.mixing import DIMENSIONS, mixed, rake_to
+from spindlewatch.llm.warc import normalise, read_records, write_archives
+
+
+# Mixing
+
+
+def cells(spark, rows):
+    return spark.createDataFrame(rows, "source_cell string, lang_cell string, topic_cell string, tokens long")
+
+
+def test_targets_are_met_within_the_tolerance(spark):
+    table_ = cells(spark, [("a", "en", "p", 900_000), ("a", "de", "p", 10), ("b", "de", "q", 1_000), ("b", "en", "q", 50)])
+    shares = {"source_cell": {"a": 0.7, "b": 0.3}, "lang_cell": {"en": 0.6, "de": 0.4}}
+    out, report, error = rake_to(table_, shares, 1e-6)
+    assert error <= 1e-6 and all(r.possible for r in report.collect())
+    rows, total = out.collect(), 901_060
+    for name, own in shares.items():
+        for value, share in own.items():
+            assert sum(r.weight for r in rows if r[name] == value) == pytest.approx(share * total, abs=1e-5 * total)
+
+
+def test_targets_that_cannot_be_met_are_reported(spark, documents):
+    table_ = cells(spark, [("a", "en", "p", 100), ("b", "de", "p", 100)])
+    _, report, error = rake_to(table_, {"source_cell": {"a": 0.5, "b": 0.25, "c": 0.25}})
+    assert error > 0.2
+    assert [(r.value, r.possible) for r in sorted(report.collect())] == [("a", True), ("b", True), ("c", False)]
+    # Each source has one language, so the two wishes contradict each other.
+    _, _, error = rake_to(table_, {"source_cell": {"a": 0.5, "b": 0.5}, "lang_cell": {"en": 0.9, "de": 0.1}}, most=80)
+    assert error > 0.1
+    for wrong in ({}, {"source_cell": {"a": 0.5}}, {"nothing": {"a": 1.0}}, {"source_cell": {"a": 2.0, "b": -1.0}}):
+        with pytest.raises(ValueError):
+            rake_to(table_, wrong)
+    docs = documents([(i, "w " * 10) for i in range(40)])
+    even = mixed(docs, {"lang_cell": {"en": 0.5, "": 0.5}}).collect()
+    assert {r.probability for r in even} == {0.6} and len(DIMENSIONS) == 3
+    with pytest.raises(ValueError, match="missed"):
+        mixed(docs, {"lang_cell": {"en": 0.5, "xx": 0.5}}).collect()
+
+
+# Archives
+
+
+def test_one_id_with_different_payloads(spark, tmp_path):
+    rows = [(1, "u", "aaa"), (5, "u", "aaa"), (5, "u", "bbb"), (6, "u", "bbb"), (1, "u", "aaa"), (7, None, None), (7, "u", "aaa")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "1 as sha", "2 as bytes", "'x' as first_id")
+    write_archives(pages, f"file://{tmp_path}/whole")
+    target = f"file://{tmp_path}/normal"
+    found = read_records(normalise(spark, f"file://{tmp_path}/whole", target), target).collect()
+    assert sorted((r.page_id, r.record_type, r.refers_to or 0, bytes(r.payload or b"")) for r in found) == [
+        (1, "response", 0, b"aaa"), (1, "response", 0, b"aaa"), (5, "response", 0, b"bbb"), (5, "revisit", 1, b""),
+        (6, "revisit", 5, b""), (7, "response", 0, b""), (7, "revisit", 1, b""),
+    ]
+
+
+def test_archives_of_no_pages(spark, tmp_path):
+    pages = spark.createDataFrame([(None, "u", "x")], "page_id long, url string, html string")
+    write_archives(pages, f"file://{tmp_path}/whole")
+    target = f"file://{tmp_path}/normal"
+    assert read_records(normalise(spark, f"file://{tmp_path}/whole", target), target).count() == 0
+
+
+# Decontamination
+
+
+WORDS = re.compile("[a-z0-9é]+|[぀-鿿]")
+
+
+def brute_coverage(item, text, least):
+    """Greedy tiling by trying all pairs of places."""
+    item, text = WORDS.findall(item.lower()), WORDS.findall((text or "").lower())
+    least = min(least, len(item))
+    free_i, free_t, covered = [True] * len(item), [True] * len(text), 0
+    while True:
+        best = (0, 0, 0)
+        for i, j in itertools.product(range(len(item)), range(len(text))):
+            n = 0
+            while i + n < len(item) and j + n < len(text) and item[i + n] == text[j + n] and free_i[i + n] and free_t[j + n]:
+                n += 1
+            best = max(best, (n, -i, -j))
+        if not item or best[0] < max(1, least):
+            return covered / len(item) if item else 0.0
+        n, i, j = best[0], -best[1], -best[2]
+        free_i[i : i + n] = free_t[j : j + n] = [False] * n
+        covered += n
+
+
+def test_coverage_against_brute_force(spark, documents):
+    items = {
+        1: " ".join(f"w{i}" for i in range(30)), 2: "three short words", 3: "two words", 4: "四川省成都市的人口是多少", 5: "",
+        6: "four words are here", 7: " ".join(f"v{i % 7}" for i in range(25)),
+    }
+    parts = items[1].split()
+    texts = {
+        1: "x " * 9 + items[1].upper(), 2: " ".join(parts[15:] + ["y"] * 3 + parts[:15]), 3: " ".join(parts[:10]),
+        4: "there are Three, short words!", 5: "three other short words", 6: "two words", 7: "請問" + items[4] + "呢", 8: "四川省的人口",
+        9: None, 10: "", 11: "four words are", 12: " ".join(f"v{i % 7}" for i in range(4, 40)), 13: " ".join(parts[::-1]),
+    }
+    bench = spark.createDataFrame(list(items.items()), "item_id long, text string").selectExpr("*", "1 as n", "2 as seed")
+    found = {(r.doc_id, r.item_id): r.coverage for r in contaminated(documents(list(texts.items())), bench).collect()}
+    wanted = {}
+    for (d, text), (i, item) in itertools.product(texts.items(), items.items()):
+        share = brute_coverage(item, text, 5)
+        if len(WORDS.findall(item.lower())) >= 3 and share >= 0.6:
+            wanted[d, i] = share
+    assert found == wanted
+    assert {(4, 2), (7, 4), (2, 1)} <= set(wanted) and not {(5, 2), (8, 4), (11, 6)} & set(wanted)
+
+
+def test_decontamination_of_odd_tables(spark, documents):
+    docs = documents([(1, "a b c d e f"), (1, "other"), (None, "a b c d e f"), (2, "a b c d e f")])
+    bench = spark.createDataFrame([(1, "a b c d e f"), (1, None), (None, "other")], "item_id long, text string")
+    left = drop_contaminated(docs, bench)
+    assert left.columns == docs.columns
+    assert [(r.doc_id, r.text) for r in left.collect()] == [(None, "a b c d e f")]
+    assert drop_contaminated(docs, bench.where("false")).count() == 4
+    assert drop_contaminated(docs.where("false"), bench).count() == 0
+
+
+# Language
+
+
+def sentences(words, n, size):
+    return [" ".join(words[(i * 7 + k * k) % len(words)] for k in range(size)) for i in range(n)]
+
+
+def test_a_language_of_short_texts_is_learnt(spark, monkeypatch):
+    monkeypatch.setattr(language, "STEPS", 120)
+    english = sentences("the of and is with that this thing from there which would about".split(), 60, 30)
+    danish = sentences("jeg æble på øl også hvad år tør nå blå få så".split(), 60, 4)
+    assert max(len(t.encode()) for t in danish) < language.TRAIN_CHUNK
+    rows = [(i, t, lang, None, None) for i, (t, lang) in enumerate([*((t, "en") for t in english), *((t, "da") for t in danish)])]
+    rows += [(500, None, "en", None, None), (501, "", "en", None, None), (502, "123 !", "da", None, None), (None, english[0], None, None, None)]
+    rows += [rows[0], (503, english[1] * 4_000, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    found = predict_language(docs.selectExpr("*", "'x' as id", "1 as score", "2 as positions")).collect()
+    assert len(found) == len(rows)
+    by_id = {r.id: r for r in found}
+    wanted = {i: lang for i, _, lang, _, _ in rows[:120]}
+    right = sum(by_id[i].lang_pred == lang for i, lang in wanted.items())
+    assert right >= 114
+    assert [by_id[i].lang_pred for i in (500, 501, 502)] == ["und"] * 3 and by_id[503].lang_pred == "en"
+    assert all(0 <= r.score <= 1 for r in found)
+
+
+def test_nothing_to_learn_or_to_predict(spark, documents):
+    assert [r.lang_pred for r in predict_language(documents([(1, "text")]).selectExpr("doc_id", "text", "cast(null as string) lang")).collect()] == ["und"]
+    assert predict_language(documents([])).count() == 0
+
+
+def test_held_out_languages(spark, tables, monkeypatch):
+    monkeypatch.setattr(language, "STEPS", 150)
+    found = {r.doc_id: r for r in language.op3_language_gru(spark, tables).collect()}
+    docs = table(spark, tables, "documents").select("doc_id", "lang").collect()
+    assert set(found) == {r.doc_id for r in docs}
+    held = [r for r in docs if zlib.crc32(str(r.doc_id).encode()) % 3 == 1]
+    assert {r.doc_id for r in held} == {i for i, r in found.items() if r.held_out}
+    known = [r for r in held if r.lang]
+    assert sum(found[r.doc_id].lang_pred == r.lang for r in known) >= 0.85 * len(known)
+
+
+# Quality and toxicity
+
+
+def labelled(spark, n):
+    good = "Careful sentences have many different words, a subject and an end. They follow each other."
+    rows = [(i, f"{good} Number {i} is fine." if i % 2 else "buy $$$ " * (5 + i % 7) + "!!! ### " * 4) for i in range(n)]
+    labels = spark.createDataFrame([(i, i % 2, 1 - i % 2) for i in range(n)], "doc_id long, quality int, toxic int")
+    return rows, labels
+
+
+@pytest.mark.parametrize("score", [quality.score_quality, toxicity.score_toxicity])
+def test_scores_of_odd_rows(spark, documents, score):
+    rows, labels = labelled(spark, 120)
+    odd = [(1000, None), (1001, ""), (1002, " \n"), (None, rows[0][1]), (1003, rows[1][1] * 3_000), (0, rows[0][1]), (0, "another text")]
+    found = score(documents(rows + odd), labels.unionByName(labels.limit(3))).collect()
+    assert len(found) == 127 and all(0 <= r.score <= 1 for r in found)
+    assert score(documents([]), labels).count() == 0
+    assert len({r.score for r in score(documents(rows[:4]), labels.where("false")).collect()}) == 1
+    name = "quality" if score is quality.score_quality else "toxic"
+    truth = {r.doc_id: r[name] for r in labels.collect()}
+    held = [r for r in found if r.id is not None and r.id < 120 and zlib.crc32(str(r.id).encode()) % 5 == 0]
+    right = sum((r.score >= 0.5) == truth[r.id] for r in held)
+    assert len(held) > 10 and right >= 0.9 * len(held)
+
+
+def test_labels_of_the_held_out_fold_are_not_learnt(spark, documents):
+    """Turning the labels of the held-out fold changes no score."""
+    rows, labels = labelled(spark, 120)
+    turned = labels.rdd.map(
+        lambda r: (r.doc_id, *((1 - r.quality, 1 - r.toxic) if zlib.crc32(str(r.doc_id).encode()) % 5 == 0 else (r.quality, r.toxic)))
+    ).toDF(labels.schema)
+    for score in (quality.score_quality, toxicity.score_toxicity):
+        first, second = ({r.id: r.score for r in score(documents(rows), own).collect()} for own in (labels, turned))
+        assert first == second
+
+
+# Pipeline
+
+
+def words_of(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", (text or "").lower())
+
+
+def shingles(text):
+    words = words_of(text)
+    return {tuple(words[i : i + 5]) for i in range(len(words) - 4)} if len(words) >= 5 else ({tuple(words)} if words else set())
+
+
+@pytest.fixture(scope="module")
+def corpus(spark, tmp_path_factory):
+    folder = tmp_path_factory.mktemp("corpus")
+    plain = [" ".join(f"{chr(97 + (i * k) % 26)}{(i * 31 + k * 17) % 97}word" for k in range(60)) for i in range(40)]
+    vile = ["you vile rotten insult of a person " * 3 + f"number {i}" for i in range(40)]
+    passage = " ".join(f"passage{k}" for k in range(55))
+    item = " ".join(f"question{k}" for k in range(20))
+    rows = [(i, t) for i, t in enumerate(plain)] + [(100 + i, t) for i, t in enumerate(vile)]
+    rows += [(200, plain[3]), (201, plain[3] + " tail"), (202, f"{plain[4][:200]} {passage}"), (203, f"{passage} {plain[5][:150]}")]
+    rows += [(204, f"intro {item} outro " + plain[6][:80]), (205, None), (206, ""), (207, " "), (None, "a row without an id"), (0, plain[0])]
+    full = [(i, t, "en" if k % 2 else None, "s" if k % 3 else "t", None if t is None else len(t)) for k, (i, t) in enumerate(rows)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame(full, schema).write.parquet(f"{folder}/documents.parquet")
+    labels = [(i, 1, 0) for i in range(40)] + [(100 + i, 0, 1) for i in range(40)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    return str(folder), {"passage": passage, "item": item}
+
+
+def test_each_stage_of_the_pipeline_against_brute_force(spark, corpus):
+    folder, planted = corpus
+    docs = table(spark, folder, "documents").withColumnsRenamed({})
+    kept = {}
+    for name, stage in corpus_pipeline.STAGES:
+        before = docs.collect()
+        out = stage(spark, docs, folder)
+        assert out.columns == docs.columns or name == "source_mixing"
+        docs = spark.createDataFrame(out.collect(), out.schema)
+        kept[name] = (before, docs.collect())
+
+    before, after = kept["toxicity"]
+    assert {r.doc_id for r in before} - {r.doc_id for r in after} == set(range(100, 140))
+
+    before, after = kept["minhash_near_dedup"]
+    sets = {r.doc_id: shingles(r.text) for r in before if r.doc_id is not None}
+    group = {i: i for i in sets}
+    for _ in sets:
+        for a, b in itertools.combinations(sets, 2):
+            if sets[a] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                group[a] = group[b] = min(group[a], group[b])
+    assert sorted(str(r) for r in after) == sorted(str(r) for r in before if r.doc_id is None or group[r.doc_id] == r.doc_id)
+
+    before, after = kept["suffix_array_dedup"]
+    width, seen, wanted = corpus_pipeline.PASSAGE_BYTES, set(), {}
+    for r in sorted((r for r in before if r.doc_id is not None), key=lambda r: r.doc_id):
+        data, gone = (r.text or "").encode(), set()
+        for p in range(len(data) - width + 1):
+            if (r.doc_id, data[p : p + width], p) in seen:
+                continue
+            if any(w == data[p : p + width] for _, w, _ in seen):
+                gone |= set(range(p, p + width))
+            seen.add((r.doc_id, data[p : p + width], p))
+        rest = bytes(b for i, b in enumerate(data) if i not in gone).decode()
+        if rest or not r.text:
+            wanted[r.doc_id] = r.text if r.text is None else rest
+    assert {r.doc_id: r.text for r in after if r.doc_id is not None} == wanted
+    holders = [r.doc_id for r in after if r.text and planted["passage"][10:300] in r.text]
+    assert holders == [202]
+
+    before, after = kept["benchmark_decontamination"]
+    assert {r.doc_id for r in before} - {r.doc_id for r in after} == {204}
+
+    before, after = kept["source_mixing"]
+    assert after and {str(r) for r in after} <= {str(r) for r in before}
+
+
+def test_the_pipeline_runs_its_stages_in_order(spark, corpus):
+    folder, _ = corpus
+    assert [name for name, _ in corpus_pipeline.STAGES] == [
+        "toxicity", "minhash_near_dedup", "suffix_array_dedup", "benchmark_decontamination", "source_mixing",
+    ]
+    found = corpus_pipeline.run(spark, folder)
+    ids = {r.doc_id for r in found.collect()}
+    assert ids and not ids & {*range(100, 140), 200, 201, 204}
+
+
+def test_the_pipeline_on_empty_tables(spark, tmp_path):
+    schema = T.StructType.fromDDL("doc_id long, text string, lang string, source string, n_chars long")
+    spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
