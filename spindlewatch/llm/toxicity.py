@@ -21,6 +21,7 @@ new text has none of them.
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections import Counter
 from collections.abc import Iterable
@@ -28,11 +29,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spindlewatch.llm.calibration import calibrated, isotonic
-from spindlewatch.llm.common import fold, keep, query, small, table
+from spindlewatch.llm.common import fold, keep, plain_uri, query, small, table
+from spindlewatch.storage import scratch_folder
 
 EXAMPLES = 1_500  # labelled texts of each class that are indexed, at most
 FLOOR = 0.01  # added to a term's squared correlation with the label
@@ -65,8 +69,10 @@ class BlockMaxIndex:
     texts_with: np.ndarray
     common: np.ndarray  # a term's row in maxima and dense, -1 of a rare one
     maxima: np.ndarray  # common term x block
-    whole: np.ndarray  # example x common term
     dense: np.ndarray  # block x common term x place, in single precision
+    begin: np.ndarray  # of an example's common terms, and one more
+    rows: np.ndarray  # common term of each of them
+    exact: np.ndarray  # and its weight
     first: np.ndarray  # of a term's postings, and one more
     numbers: np.ndarray  # example of each posting
     weights: np.ndarray
@@ -83,19 +89,24 @@ class BlockMaxIndex:
         common = np.where(n * DENSE > len(ids), 0, -1)
         common[common == 0] = np.arange((common == 0).sum())
         rows = int((common >= 0).sum())
-        whole = np.zeros((blocks * BLOCK, rows))
         none = np.zeros(0, np.int64)
+        maxima = np.zeros((rows, blocks))
+        dense = np.zeros((blocks, rows, BLOCK), np.float32)
         made = BlockMaxIndex(
-            {t: i for i, t in enumerate(terms)}, np.log(1 + len(ids) / (1 + n)) * telling, n, common, none, whole, none, none, none, none, np.array(ids, np.int64), np.array(labels)
+            {t: i for i, t in enumerate(terms)}, np.log(1 + len(ids) / (1 + n)) * telling, n, common, maxima, dense, none, none, none, none, none, none, np.array(ids, np.int64), np.array(labels)
         )
-        found = []
+        found, held = [], []
         for number, own in enumerate(counts):
             at, weights = made.vector(own)
             row = common[at]
-            whole[number, row[row >= 0]] = weights[row >= 0]
+            shared = row[row >= 0]
+            block, place = divmod(number, BLOCK)
+            dense[block, shared, place] = weights[row >= 0]
+            maxima[shared, block] = np.maximum(maxima[shared, block], weights[row >= 0])
+            held.append((shared.astype(np.int32), weights[row >= 0]))
             found.append((at[row < 0], np.full((row < 0).sum(), number), weights[row < 0]))
-        made.maxima = whole.reshape(blocks, BLOCK, rows).max(1).T.copy()
-        made.dense = np.ascontiguousarray(whole.reshape(blocks, BLOCK, rows).transpose(0, 2, 1), np.float32)
+        made.begin = np.cumsum([0, *(len(shared) for shared, _ in held)])
+        made.rows, made.exact = (np.concatenate(c) for c in zip(*held)) if held else (none, np.zeros(0))
         at, numbers, weights = (np.concatenate(c) for c in zip(*found)) if found else (none, none, np.zeros(0))
         order = np.argsort(at, kind="stable")
         made.first = np.searchsorted(at[order], np.arange(len(terms) + 1))
@@ -149,8 +160,7 @@ class BlockMaxIndex:
         for i, left_out in enumerate(without):
             numbers = np.flatnonzero(flat[i] >= least[i])
             numbers = numbers[numbers != left_out]
-            row = np.flatnonzero(query[i])
-            exact = np.round(rare[i, numbers] + self.whole[numbers[:, None], row] @ query[i, row], 9)
+            exact = np.round(rare[i, numbers] + self._common(numbers, query[i]), 9)
             numbers, exact = numbers[exact > 0], exact[exact > 0]
             top = np.lexsort((numbers, -exact))[:k]
             out.append(list(zip(exact[top].tolist(), numbers[top].tolist())))
@@ -163,9 +173,19 @@ class BlockMaxIndex:
         rank = k + int(max(without) >= 0)
         return np.partition(flat, -rank, axis=1)[:, -rank] if flat.shape[1] >= rank else np.full(len(flat), -1.0)
 
+    def _common(self, numbers: np.ndarray, query: np.ndarray) -> np.ndarray:
+        """What common terms add to the score of these examples, in double precision."""
+        low = self.begin[numbers]
+        long = self.begin[numbers + 1] - low
+        ends = np.cumsum(long)
+        if not len(ends) or not ends[-1]:
+            return np.zeros(len(numbers))
+        at = np.arange(ends[-1]) + np.repeat(low - ends + long, long)
+        return np.bincount(np.repeat(np.arange(len(numbers)), long), query[self.rows[at]] * self.exact[at], len(numbers))
+
     def _rare(self, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
         """What rare terms add to the score of each example, padded to whole blocks."""
-        size = len(self.whole)
+        size = self.dense.shape[0] * BLOCK
         low = self.first[terms]
         long = self.first[terms + 1] - low
         ends = np.cumsum(long)
@@ -207,32 +227,84 @@ def correlation(texts_with: np.ndarray, hits: np.ndarray, labels: np.ndarray) ->
     return np.divide((hits - share * toxic) ** 2, spread, out=np.zeros(len(spread)), where=spread > 0)
 
 
-def fitted(docs: DataFrame, labels: DataFrame) -> tuple[BlockMaxIndex, tuple[np.ndarray, np.ndarray], np.ndarray]:
-    """The index of the drawn examples, the calibration of its votes, and which terms are evidence of label 1."""
-    counted = keep(examples(docs, labels, "toxic").mapInArrow(_counted, "id long, label int, terms map<string,int>"), "examples")
-    rows = counted.orderBy("id").toArrow()
-    kinds, own = rows["label"].to_numpy(), rows["terms"].combine_chunks()
-    codes = own.keys.dictionary_encode()
-    terms, codes, times, first = codes.dictionary.to_pylist(), codes.indices.to_numpy(), own.items.to_numpy(), own.offsets.to_numpy()
-    texts_with = np.bincount(codes, minlength=len(terms))
-    hits = np.bincount(codes, np.repeat(kinds, np.diff(first)), len(terms))
-    telling = correlation(texts_with, hits, kinds)
-
-    def counts():
-        for low, high in zip(first[:-1], first[1:]):
-            yield {terms[c]: n for c, n in zip(codes[low:high].tolist(), times[low:high].tolist())}
-
-    index = BlockMaxIndex.of(rows["id"].to_numpy(), counts(), kinds, terms, texts_with, FLOOR + telling)
-    evident = (telling * len(kinds) >= EVIDENT) & (hits * len(kinds) > texts_with * kinds.sum())
-    if not len(kinds):
-        return index, (np.zeros(1), np.zeros(1)), evident
-    raw = np.array([index.vote(near) for near in index.near(list(counts()), without=list(range(len(kinds))))])
-    # Every class counts as it does among all labelled rows, not as drawn.
+@dataclass
+class Model:
+    """The index of the drawn examples, the calibration of its votes, and the terms that are evidence of label 1."""
+
+    index: BlockMaxIndex
+    knots: tuple[np.ndarray, np.ndarray]
+    evident: frozenset[str]
+
+    @staticmethod
+    def of(rows: pa.Table, share: dict[int, int]) -> Model:
+        """From the rows (id, label, terms) of the examples; ``share``: labelled rows of each class, drawn or not."""
+        kinds, own = rows["label"].to_numpy(), rows["terms"].combine_chunks()
+        codes = own.keys.dictionary_encode()
+        terms, codes, times, first = codes.dictionary.to_pylist(), codes.indices.to_numpy(), own.items.to_numpy(), own.offsets.to_numpy()
+        texts_with = np.bincount(codes, minlength=len(terms))
+        hits = np.bincount(codes, np.repeat(kinds, np.diff(first)), len(terms))
+        telling = correlation(texts_with, hits, kinds)
+
+        def counts(low: int = 0, high: int = len(kinds)):
+            for at in range(low, high):
+                own_codes = codes[first[at] : first[at + 1]].tolist()
+                yield {terms[c]: n for c, n in zip(own_codes, times[first[at] : first[at + 1]].tolist())}
+
+        index = BlockMaxIndex.of(rows["id"].to_numpy(), counts(), kinds, terms, texts_with, FLOOR + telling)
+        evident = (telling * len(kinds) >= EVIDENT) & (hits * len(kinds) > texts_with * kinds.sum())
+        named = frozenset(terms[i] for i in np.flatnonzero(evident).tolist())
+        if not len(kinds):
+            return Model(index, (np.zeros(1), np.zeros(1)), named)
+        raw = []
+        for at in range(0, len(kinds), TEXTS):
+            some = range(at, min(at + TEXTS, len(kinds)))
+            raw += [index.vote(near) for near in index.near(list(counts(some.start, some.stop)), without=list(some))]
+        # Every class counts as it does among all labelled rows, not as drawn.
+        drawn = np.bincount(index.labels, minlength=2)
+        weight = np.array([share.get(c, 0) / max(1, drawn[c]) for c in (0, 1)])[index.labels]
+        return Model(index, isotonic(np.array(raw), index.labels.astype(float), weight), named)
+
+
+MODEL = "part int, data binary"
+MODEL_PART = 8 << 20
+
+
+def fitted(docs: DataFrame, labels: DataFrame) -> str:
+    """Fits the model in one task, which holds no more than the drawn examples, and returns the folder it is kept in.
+
+    The driver never holds it: every task that scores reads it from the shared folder.
+    """
+    counted = keep(examples(docs, labels, "toxic").mapInArrow(_counted, COUNTED), "examples")
     learn = labels.where("toxic in (0, 1)").where(fold("doc_id", 5) != 0)
     share = dict(learn.groupBy("toxic").count().collect())
-    drawn = np.bincount(index.labels, minlength=2)
-    weight = np.array([share.get(c, 0) / max(1, drawn[c]) for c in (0, 1)])[index.labels]
-    return index, isotonic(raw, index.labels.astype(float), weight), evident
+    empty = pa.schema([("id", pa.int64()), ("label", pa.int32()), ("terms", pa.map_(pa.string(), pa.int32()))])
+
+    def fit(batches):
+        held = list(batches)
+        data = pickle.dumps(Model.of(pa.Table.from_batches(held) if held else empty.empty_table(), share), protocol=5)
+        for part, at in enumerate(range(0, len(data), MODEL_PART)):
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([data[at : at + MODEL_PART]])], ["part", "data"])
+
+    uri = scratch_folder(docs.sparkSession, "toxicity-model")
+    counted.repartition(1).sortWithinPartitions("id").mapInArrow(fit, MODEL).write.parquet(uri)
+    return uri
+
+
+def loaded(uri: str) -> Model:
+    """The model in the folder ``uri``. Each task reads it and lets go of it: Python processes serve later stages too."""
+    system, folder = fs.FileSystem.from_uri(plain_uri(uri))
+    parts: dict[int, bytes] = {}
+    for file in system.get_file_info(fs.FileSelector(folder)):
+        if file.base_name.endswith(".parquet"):
+            with system.open_input_file(file.path) as source:
+                for row in pq.read_table(source).to_pylist():
+                    parts[row["part"]] = row["data"]
+    if not parts:  # Spark leaves out the fit of no examples
+        return Model(BlockMaxIndex.of([], [], [], [], []), (np.zeros(1), np.zeros(1)), frozenset())
+    return pickle.loads(b"".join(parts[part] for part in sorted(parts)))
+
+
+COUNTED = "id long, label int, terms map<string,int>"
 
 
 def _counted(batches):
@@ -253,12 +325,12 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     and the score of that. ``evidence`` names the text's terms that are surely
     more frequent in toxic examples. Without labelled examples every score is 0. Labels of one id
     that differ count as toxic. The index holds ``EXAMPLES`` texts of each class
-    at most and is sent to the tasks; every text is scored whole.
+    at most and lies in the shared folder; every text is scored whole.
     """
-    index, knots, evident = fitted(docs, labels)
-    telltale = {t for t, i in index.vocabulary.items() if evident[i]}
+    model = fitted(docs, labels)
 
     def run(batches):
+        index, knots, telltale = (fit := loaded(model)).index, fit.knots, fit.evident
         for batch in small(batches):
             counts = [terms_of(t) for t in batch.column("text").to_pylist()]
             found = index.near(counts)
@@ -275,9 +347,10 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
     """Rows of ``docs`` that score below the threshold, with their columns. One pass, no shuffle."""
-    index, knots, _ = fitted(docs, labels)
+    model = fitted(docs, labels)
 
     def run(batches):
+        index, knots = (fit := loaded(model)).index, fit.knots
         for batch in small(batches):
             votes = np.array([index.vote(near) for near in index.near([terms_of(t) for t in batch.column("text").to_pylist()])])
             yield batch.filter(pa.array(calibrated(votes, knots) < threshold))
