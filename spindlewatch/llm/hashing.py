@@ -38,7 +38,8 @@ def _powers(n: int, base: int) -> np.ndarray:
 
 
 def _sized(n: int) -> int:
-    return 1 << max(16, (n + 1).bit_length())
+    """Length of the table for ``n`` bytes: a few lengths only, as a longer table is made anew, and little above ``n``."""
+    return ((n >> 20) + 1) << 20 if n >= 1 << 20 else 1 << max(16, (n + 1).bit_length())
 
 
 class Prefix:
@@ -47,7 +48,11 @@ class Prefix:
     def __init__(self, data: np.ndarray):
         n = len(data)
         self.sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(_BYTES[data] * _powers(_sized(n), _BASE)[:n], out=self.sums[1:])
+        # In place: the arrays are eight times as large as the text.
+        terms = self.sums[1:]
+        np.take(_BYTES, data, out=terms, mode="clip")
+        terms *= _powers(_sized(n), _BASE)[:n]
+        np.cumsum(terms, out=terms)
         self.back = _powers(_sized(n), _INVERSE)
 
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
