@@ -21,6 +21,7 @@ new text has none of them.
 
 from __future__ import annotations
 
+import itertools
 import pickle
 import re
 from collections import Counter
@@ -53,10 +54,13 @@ _WORD = re.compile(r"[^\W\d_]+")
 def terms_of(text: str | None) -> Counter:
     """Counts of the words and, as ``word-``, of the beginnings of longer ones, all in lower case."""
     words = Counter(_WORD.findall((text or "").lower()))
+    known = words.get
     for word, n in list(words.items()):
+        size = len(word)
         for stem in STEMS:
-            if len(word) > stem:
-                words[word[:stem] + "-"] += n
+            if size > stem:
+                start = word[:stem] + "-"
+                words[start] = known(start, 0) + n
     return words
 
 
@@ -115,8 +119,7 @@ class BlockMaxIndex:
 
     def vector(self, counts: dict[str, int], least: int = 1) -> tuple[np.ndarray, np.ndarray]:
         """Terms that ``least`` examples hold at least, and their weights, of length 1 together."""
-        known = self.vocabulary.get
-        terms = np.array([known(t, -1) for t in counts], np.int64)
+        terms = np.fromiter(map(self.vocabulary.get, counts, itertools.repeat(-1)), np.int64, len(counts))
         times = np.fromiter(counts.values(), float, len(counts))
         held = np.flatnonzero(terms >= 0)
         held = held[self.texts_with[terms[held]] >= least]
