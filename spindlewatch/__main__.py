@@ -32,6 +32,7 @@ def parse(arguments: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--work", help="folder of the extracts, with --raw")
     parser.add_argument("--rename", action="append", default=[], metavar="OLD=NEW", help="rename a raw column")
     parser.add_argument("--out", action="append", default=[], help="folder for CSV results; may be repeated")
+    parser.add_argument("--together", action="store_true", help="publish all copies of a result as one version")
     parser.add_argument("--shared-files", action="store_true", help="file: folders of --out are one mount on all machines")
     parser.add_argument("--store", help="folder of the cell table")
     parser.add_argument("--batch", type=int, help="batch number in the cell table, to run one again; by default a new one")
@@ -72,6 +73,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
         store=options.store,
         batch=options.batch,
         connect=redis_client(options.redis) if options.redis else None,
+        together=options.together,
         preview=(lambda df: df.show(max(20, options.k), truncate=False)) if options.show else None,
     )
     if options.report == "daily":

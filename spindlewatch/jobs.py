@@ -11,13 +11,15 @@ from pyspark.sql import DataFrame
 from spindlewatch.functions import joined_text, not_null
 from spindlewatch.plans import daily_vault_failures, hours_by_cohort, rank_vaults, top_models
 from spindlewatch.sinks import hashes, write_csv
+from spindlewatch.sinks.published import publish_copies
 
 
 @dataclass
 class Outputs:
     """Where results go. Every part is optional.
 
-    ``folders`` each get one CSV table per result. ``store`` is the cell table, in
+    ``folders`` each get one CSV table per result; with ``together`` all copies of
+    a table change at once, as versions that ``sinks.published`` finds. ``store`` is the cell table, in
     which every job has a folder of its own and appends ``batch`` to it, by
     default the one after the last. ``connect`` makes a client of a
     key-value store inside the tasks. ``preview`` is called with each result.
@@ -28,6 +30,7 @@ class Outputs:
     batch: int | None = None
     connect: Callable[[], object] | None = None
     preview: Callable[[DataFrame], None] | None = None
+    together: bool = False
 
 
 @dataclass
@@ -85,7 +88,11 @@ def _deliver(outputs: Outputs, job: str, results: Sequence[Result], single_file:
                 outputs.preview(result.report)
             if outputs.folders:
                 targets = [f"{folder.rstrip('/')}/{result.name}" for folder in outputs.folders]
-                write_csv(result.to_table(result.report), *targets, single_file=single_file)
+                table = result.to_table(result.report)
+                if outputs.together:
+                    publish_copies(table, targets, single_file)
+                else:
+                    write_csv(table, *targets, single_file=single_file)
         if outputs.store:
             cells = hashes.merge_panels(*[result.to_cells(result.report) for result in results])
             store = f"{outputs.store.rstrip('/')}/report={job}"

@@ -136,6 +136,7 @@ ORACLE = {
     + """SELECT 'query2.2:' || vault_id AS key, CAST(vault_id AS VARCHAR) AS "vaultId",
                 CAST(total_failures AS VARCHAR) AS "totalFailures",
                 array_to_string(models, ', ') AS "uniqueModels" FROM vaults""",
+    "hash_get_fields": MODELS + "SELECT model AS field, CAST(total_failures AS VARCHAR) AS value FROM models",
     "hash_merge": COHORTS
     + f"""SELECT {COHORT_KEY}, CAST(failure AS VARCHAR) AS "# failure",
                 {", ".join(f'CAST("{c}" AS VARCHAR) AS "{c}"' for c in COHORT_COLUMNS)} FROM cohorts""",

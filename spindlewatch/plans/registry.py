@@ -302,6 +302,12 @@ def hash_get_all(spark, sf_dir):
     return hashes.get_all(cells, "query2.2:*", hashes.VAULT_FIELDS)
 
 
+@query
+def hash_get_fields(spark, sf_dir):
+    cells = _stored(spark, hash_single(spark, sf_dir), _vault_cells(spark, sf_dir))
+    return hashes.get_fields(cells, hashes.MODELS_KEY)
+
+
 @query
 def hash_merge(spark, sf_dir):
     cells = _stored(spark, _cohort_cells(spark, sf_dir))

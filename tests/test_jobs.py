@@ -9,6 +9,7 @@ from test_hashes import recorder, sent
 from spindlewatch.__main__ import refuse_own_disks
 from spindlewatch.functions import typed_telemetry
 from spindlewatch.jobs import Outputs, run_daily, run_hours, run_rankings
+from spindlewatch.sinks.published import newest_version, published_folder
 
 
 @pytest.fixture(scope="module")
@@ -33,6 +34,17 @@ def test_hours_reach_the_store(edge, tmp_path):
     assert found["nofailureStats"] == {"# failure": "0", "count": "0", **unknown}
 
 
+def test_copies_of_a_job_are_published_together(spark, edge, tmp_path):
+    folders = [str(tmp_path / name) for name in ("one", "two")]
+    for _ in range(2):
+        run_rankings(edge, Outputs(folders=folders, together=True))
+    for name in ("models", "vaults"):
+        lead, other = (f"{folder}/{name}" for folder in folders)
+        assert newest_version(spark, lead) == 2
+        first, second = (values(spark.read.csv(published_folder(spark, lead, copy))) for copy in (lead, other))
+        assert first and sorted(first, key=repr) == sorted(second, key=repr)
+
+
 def test_file_folders_are_refused_on_a_cluster():
     refuse_own_disks(["file:///results"], "local[8]")
     refuse_own_disks(["hdfs:///results"], "yarn")
