@@ -5,7 +5,8 @@ times ``FLOOR`` plus its squared correlation with the label (chi square over the
 number of examples), so that a marking word outweighs the words around it and no
 term weighs nothing. Terms that no example holds are no axes of the space.
 
-Examples are numbered and lie in blocks of numbers. A common term, in more than
+Examples are numbered by label and heaviest term and lie in blocks of numbers, so
+that like ones share a block and its bounds are close. A common term, in more than
 one of ``DENSE`` examples, has a row of weights in every block and the largest
 weight of each block; any other term has a list of postings. A text takes the
 postings of its rare terms in full, which with the block maxima of its common
@@ -45,15 +46,20 @@ EVIDENT = 3.84  # chi square (5 % level) from which a term is named as evidence;
 NEAREST = 15
 BLOCK = 64
 DENSE = 16
-VISIT = 8  # blocks that are visited before what is left is bounded again
+VISIT = 6  # blocks a text visits before what is left is bounded again; twice as many each time after
 TEXTS = 128  # texts that are scored at a time
 STEMS = (4, 5)
 _WORD = re.compile(r"[^\W\d_]+")
 
 
+def words_of(text: str | None) -> Counter:
+    """Counts of the words, in lower case."""
+    return Counter(_WORD.findall((text or "").lower()))
+
+
 def terms_of(text: str | None) -> Counter:
     """Counts of the words and, as ``word-``, of the beginnings of longer ones, all in lower case."""
-    words = Counter(_WORD.findall((text or "").lower()))
+    words = words_of(text)
     known = words.get
     for word, n in list(words.items()):
         size = len(word)
@@ -64,11 +70,16 @@ def terms_of(text: str | None) -> Counter:
     return words
 
 
+def idf(texts_with: np.ndarray, texts: int) -> np.ndarray:
+    return np.log(1 + texts / (1 + texts_with))
+
+
 @dataclass
 class BlockMaxIndex:
     """TF-IDF unit vectors of the examples: common terms by block, the others as postings."""
 
     vocabulary: dict[str, int]
+    starts: np.ndarray  # of a term that is a word: the terms of its beginnings, -1 where it is shorter
     weight: np.ndarray  # of each term
     texts_with: np.ndarray
     common: np.ndarray  # a term's row in maxima and dense, -1 of a rare one
@@ -96,8 +107,11 @@ class BlockMaxIndex:
         none = np.zeros(0, np.int64)
         maxima = np.zeros((rows, blocks))
         dense = np.zeros((blocks, rows, BLOCK), np.float32)
+        vocabulary = {t: i for i, t in enumerate(terms)}
+        begins = (vocabulary.get(t[:stem] + "-", -1) if len(t) > stem and t[-1] != "-" else -1 for t in terms for stem in STEMS)
+        starts = np.fromiter(begins, np.int32, len(terms) * len(STEMS)).reshape(-1, len(STEMS))
         made = BlockMaxIndex(
-            {t: i for i, t in enumerate(terms)}, np.log(1 + len(ids) / (1 + n)) * telling, n, common, maxima, dense, none, none, none, none, none, none, np.array(ids, np.int64), np.array(labels)
+            vocabulary, starts, idf(n, len(ids)) * telling, n, common, maxima, dense, none, none, none, none, none, none, np.array(ids, np.int64), np.array(labels)
         )
         found, held = [], []
         for number, own in enumerate(counts):
@@ -117,31 +131,64 @@ class BlockMaxIndex:
         made.numbers, made.weights = numbers[order].astype(np.int32), weights[order]
         return made
 
-    def vector(self, counts: dict[str, int], least: int = 1) -> tuple[np.ndarray, np.ndarray]:
-        """Terms that ``least`` examples hold at least, and their weights, of length 1 together."""
+    def numbered(self, counts: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of the terms that examples hold, in order, and their counts."""
         terms = np.fromiter(map(self.vocabulary.get, counts, itertools.repeat(-1)), np.int64, len(counts))
         times = np.fromiter(counts.values(), float, len(counts))
         held = np.flatnonzero(terms >= 0)
-        held = held[self.texts_with[terms[held]] >= least]
         held = held[np.argsort(terms[held])]
-        terms = terms[held]
-        weights = (1 + np.log(times[held])) * self.weight[terms]
+        return terms[held], times[held]
+
+    def numbered_text(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """``numbered(terms_of(text))``, but the beginnings of a word that an example holds are looked up by its number."""
+        words = words_of(text)
+        find = self.vocabulary.get
+        terms = np.fromiter(map(find, words, itertools.repeat(-1)), np.int64, len(words))
+        times = np.fromiter(words.values(), float, len(words))
+        known = terms >= 0
+        others = [
+            (number, n)
+            for word, n in itertools.compress(words.items(), ~known)
+            for stem in STEMS
+            if len(word) > stem and (number := find(word[:stem] + "-", -1)) >= 0
+        ]
+        terms, times = terms[known], times[known]
+        starts = self.starts[terms].ravel()
+        more, n = np.array(others, np.int64).reshape(-1, 2).T
+        at = np.concatenate([terms, starts[starts >= 0], more])
+        counts = np.concatenate([times, np.repeat(times, len(STEMS))[starts >= 0], n])
+        found, place = np.unique(at, return_inverse=True)
+        return found, np.bincount(place, counts, len(found))
+
+    def vector(self, counts: dict[str, int], least: int = 1) -> tuple[np.ndarray, np.ndarray]:
+        return self.weighed(self.numbered(counts), least)
+
+    def weighed(self, numbered: tuple[np.ndarray, np.ndarray], least: int = 1) -> tuple[np.ndarray, np.ndarray]:
+        """Terms that ``least`` examples hold at least, and their weights, of length 1 together."""
+        terms, times = numbered
+        if least > 1:
+            held = self.texts_with[terms] >= least
+            terms, times = terms[held], times[held]
+        weights = (1 + np.log(times)) * self.weight[terms]
         return terms, weights / np.sqrt((weights**2).sum()) if len(terms) else weights
 
     def nearest(self, counts: dict[str, int], k: int = NEAREST, without: int = -1) -> list[tuple[float, int]]:
-        """The k examples of the highest cosine above 0, ties to the smaller number: (cosine, number)."""
+        """The k examples of the highest cosine above 0, ties to the smaller id: (cosine, number)."""
         return self.near([counts], k, [without])[0]
 
     def near(self, texts: list[dict[str, int]], k: int = NEAREST, without: list[int] | None = None) -> list[list[tuple[float, int]]]:
         """``nearest`` of each text."""
+        return self.near_numbered([self.numbered(counts) for counts in texts], k, without)
+
+    def near_numbered(self, texts: list[tuple[np.ndarray, np.ndarray]], k: int = NEAREST, without: list[int] | None = None) -> list[list[tuple[float, int]]]:
         own = [-1] * len(texts) if without is None else without
         return [best for at in range(0, len(texts), TEXTS) for best in self._near(texts[at : at + TEXTS], k, own[at : at + TEXTS])]
 
-    def _near(self, texts: list[dict[str, int]], k: int, without: list[int]) -> list[list[tuple[float, int]]]:
+    def _near(self, texts: list[tuple[np.ndarray, np.ndarray]], k: int, without: list[int]) -> list[list[tuple[float, int]]]:
         blocks, rows = self.dense.shape[:2]
         query, rare = np.zeros((len(texts), rows)), np.zeros((len(texts), blocks * BLOCK))
-        for i, (counts, left_out) in enumerate(zip(texts, without)):
-            terms, weights = self.vector(counts, 1 if left_out < 0 else 2)
+        for i, (numbered, left_out) in enumerate(zip(texts, without)):
+            terms, weights = self.weighed(numbered, 1 if left_out < 0 else 2)
             row = self.common[terms]
             query[i, row[row >= 0]] = weights[row >= 0]
             rare[i] = self._rare(terms[row < 0], weights[row < 0])
@@ -152,20 +199,23 @@ class BlockMaxIndex:
         # Of a text: what an example must reach; 0 is no neighbour.
         least = np.full(len(texts), 1e-12)
         scores = np.full((len(texts), blocks, BLOCK), -1, np.float32)
-        for step, block in enumerate(np.argsort(-bounds.sum(0), kind="stable")):
-            if step and step % VISIT == 0:
-                least = np.maximum(least, self._worst(scores, k, without) - margin)
-            visit = np.flatnonzero(bounds[:, block] >= least)
-            if len(visit):
+        rank = np.argsort(np.argsort(-bounds, axis=1, kind="stable"), axis=1)
+        done, more = 0, VISIT
+        while done < blocks:
+            # Of each text: the next blocks of its own order, as far as they can still reach what is needed.
+            wanted = (rank >= done) & (rank < done + more) & (bounds >= least[:, None])
+            for block in np.flatnonzero(wanted.any(axis=0)):
+                visit = np.flatnonzero(wanted[:, block])
                 scores[visit, block] = single[visit] @ self.dense[block] + by_block[visit, block]
-        least = np.maximum(least, self._worst(scores, k, without) - margin)
+            least = np.maximum(least, self._worst(scores, k, without) - margin)
+            done, more = done + more, 2 * more
         flat, out = scores.reshape(len(texts), -1), []
         for i, left_out in enumerate(without):
             numbers = np.flatnonzero(flat[i] >= least[i])
             numbers = numbers[numbers != left_out]
             exact = np.round(rare[i, numbers] + self._common(numbers, query[i]), 9)
             numbers, exact = numbers[exact > 0], exact[exact > 0]
-            top = np.lexsort((numbers, -exact))[:k]
+            top = np.lexsort((self.ids[numbers], -exact))[:k]
             out.append(list(zip(exact[top].tolist(), numbers[top].tolist())))
         return out
 
@@ -248,12 +298,16 @@ class Model:
         hits = np.bincount(codes, np.repeat(kinds, np.diff(first)), len(terms))
         telling = correlation(texts_with, hits, kinds)
 
+        heavy = (1 + np.log(times)) * (idf(texts_with, len(kinds)) * (FLOOR + telling))[codes]
+        heaviest = [codes[low + np.argmax(heavy[low:high])] if high > low else -1 for low, high in zip(first, first[1:])]
+        order = np.lexsort((rows["id"].to_numpy(), heaviest, kinds)) if len(kinds) else np.zeros(0, np.int64)
+
         def counts(low: int = 0, high: int = len(kinds)):
-            for at in range(low, high):
+            for at in order[low:high]:
                 own_codes = codes[first[at] : first[at + 1]].tolist()
                 yield {terms[c]: n for c, n in zip(own_codes, times[first[at] : first[at + 1]].tolist())}
 
-        index = BlockMaxIndex.of(rows["id"].to_numpy(), counts(), kinds, terms, texts_with, FLOOR + telling)
+        index = BlockMaxIndex.of(rows["id"].to_numpy()[order], counts(), kinds[order], terms, texts_with, FLOOR + telling)
         evident = (telling * len(kinds) >= EVIDENT) & (hits * len(kinds) > texts_with * kinds.sum())
         named = frozenset(terms[i] for i in np.flatnonzero(evident).tolist())
         if not len(kinds):
@@ -333,13 +387,16 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     model = fitted(docs, labels)
 
     def run(batches):
-        index, knots, telltale = (fit := loaded(model)).index, fit.knots, fit.evident
+        index, knots = (fit := loaded(model)).index, fit.knots
+        telltale = np.zeros(len(index.vocabulary), bool)
+        telltale[[index.vocabulary[term] for term in fit.evident]] = True
+        named = {index.vocabulary[term]: term for term in fit.evident}
         for batch in small(batches):
-            counts = [terms_of(t) for t in batch.column("text").to_pylist()]
-            found = index.near(counts)
+            numbered = [index.numbered_text(t) for t in batch.column("text").to_pylist()]
+            found = index.near_numbered(numbered)
             scores = calibrated(np.array([index.vote(near) for near in found]), knots)
             near_ids = [[int(index.ids[n]) for _, n in near] for near in found]
-            evidence = [sorted(telltale.intersection(c)) for c in counts]
+            evidence = [sorted(named[term] for term in terms[telltale[terms]].tolist()) for terms, _ in numbered]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array(scores, pa.float64()), pa.array(near_ids, pa.list_(pa.int64())), pa.array(evidence, pa.list_(pa.string()))],
                 ["id", "score", "neighbours", "evidence"],
@@ -355,7 +412,8 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> Da
     def run(batches):
         index, knots = (fit := loaded(model)).index, fit.knots
         for batch in small(batches):
-            votes = np.array([index.vote(near) for near in index.near([terms_of(t) for t in batch.column("text").to_pylist()])])
+            numbered = [index.numbered_text(t) for t in batch.column("text").to_pylist()]
+            votes = np.array([index.vote(near) for near in index.near_numbered(numbered)])
             yield batch.filter(pa.array(calibrated(votes, knots) < threshold))
 
     return docs.mapInArrow(run, docs.schema)

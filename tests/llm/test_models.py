@@ -14,7 +14,7 @@ from spindlewatch.llm.decontamination import contaminated, tiles, word_hashes
 from spindlewatch.llm.language import Network
 from spindlewatch.llm.mixing import mixed, rake, sample
 from spindlewatch.llm.topk_search import DualSearch, top_k
-from spindlewatch.llm.toxicity import NEAREST, BlockMaxIndex, score_toxicity
+from spindlewatch.llm.toxicity import NEAREST, BlockMaxIndex, score_toxicity, terms_of
 from spindlewatch.llm.warc import RecordParser, deflated, inflated, normalise, read_records, write_archives
 
 
@@ -200,3 +200,22 @@ def test_streams_of_many_members():
     stream = io.BytesIO(deflated(record) + deflated(record))
     parser = RecordParser()
     assert [r.payload for data in inflated(stream) for r in parser.feed(data)] == [b"abc", b"abc"]
+
+
+def test_terms_of_a_text_are_numbered_as_their_counts_are():
+    examples = ["Nasty nastier words", "plain words, plainly", "élan abcd abcde abcdef", ""]
+    counts = [terms_of(text) for text in examples]
+    terms = sorted(set().union(*counts))
+    index = BlockMaxIndex.of([7, 3, 9, 5], counts, [1, 0, 0, 1], terms, [sum(t in c for c in counts) for t in terms])
+    texts = [None, "", "12 --", "nastiest abcdefgh words wordy", "PLAIN plain unseen", "x" * 10_000, *examples]
+    for text in texts:
+        wanted, found = index.numbered(terms_of(text)), index.numbered_text(text)
+        assert [list(a) for a in found] == [list(a) for a in wanted]
+
+
+def test_equal_cosines_go_to_the_smaller_id_wherever_it_lies():
+    counts = [terms_of("same text")] * 70 + [terms_of("another")]
+    terms = sorted(set().union(*counts))
+    ids = [*range(170, 100, -1), 1]
+    index = BlockMaxIndex.of(ids, counts, [0] * 71, terms, [sum(t in c for c in counts) for t in terms])
+    assert [ids[n] for _, n in index.nearest(counts[0], 5)] == [101, 102, 103, 104, 105]
