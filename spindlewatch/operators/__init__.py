@@ -7,7 +7,7 @@ from spindlewatch.operators.latest import (
     latest_rows,
     latest_rows_with_history,
 )
-from spindlewatch.operators.newest import merge_newest, read_newest
+from spindlewatch.operators.newest import merge_newest, read_newest, vacuum_newest
 from spindlewatch.operators.ranking import count_by, distinct_by, sum_by, top_k
 from spindlewatch.operators.sketches import (
     QUARTILES,
@@ -42,4 +42,5 @@ __all__ = [
     "sketches",
     "sum_by",
     "top_k",
+    "vacuum_newest",
 ]

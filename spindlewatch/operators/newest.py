@@ -13,6 +13,7 @@ stay even where the history's would not.
 from __future__ import annotations
 
 import json
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -85,6 +86,30 @@ def newest_state(spark: SparkSession, uri: str) -> int:
     return max((int(name.removesuffix(".json")) for name in names if name.endswith(".json")), default=0)
 
 
+def vacuum_newest(spark: SparkSession, uri: str, versions: int = 2, min_age_s: float = 86_400) -> int:
+    """Remove states that none of the newest ``versions`` manifests names, with their tables. Returns how many.
+
+    A state younger than ``min_age_s`` stays, as its merge may not have
+    published it yet. Manifests stay: a slow merge must find the number of its
+    version taken. Readers of a state that is removed fail.
+    """
+    uri, newest = uri.rstrip("/"), newest_state(spark, uri)
+    before = (time.time() - min_age_s) * 1000
+    named = {
+        f"state={json.loads(storage.read_text(spark, _manifest(uri, version)))['folder']}"
+        for version in range(max(1, newest - max(1, versions) + 1), newest + 1)
+    }
+    gone = [
+        name
+        for name in storage.children(spark, uri)
+        if name.startswith("state=") and name not in named and storage.changed_at(spark, f"{uri}/{name}") <= before
+    ]
+    for name in gone:
+        spark.sql(f"DROP TABLE IF EXISTS newest_{name.removeprefix('state=')}")
+        storage.remove(spark, f"{uri}/{name}")
+    return len(gone)
+
+
 def _publish(rows: DataFrame, uri: str, version: int, key: str, buckets: int) -> int:
     spark, folder = rows.sparkSession, uuid.uuid4().hex
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)

@@ -15,7 +15,7 @@ from samples import EDGE_ROWS, day, telemetry, values
 
 from spindlewatch import sources, storage
 from spindlewatch.functions import parse_instant, typed_telemetry
-from spindlewatch.operators import add_to_totals, latest_rows_with_history, merge_newest, read_newest, read_totals
+from spindlewatch.operators import add_to_totals, latest_rows_with_history, merge_newest, read_newest, read_totals, vacuum_newest
 from spindlewatch.plans import daily_vault_failures
 from spindlewatch.sinks import hashes, published, sending, write_csv
 
@@ -140,6 +140,29 @@ def test_a_later_delivery_of_an_undated_drive(spark, tmp_path):
     assert [(r["serial_number"], r["failure"]) for r in read_newest(spark, uri).collect()] == [("G", 1)]
 
 
+def test_old_states_are_removed_with_their_tables(spark, tmp_path, monkeypatch):
+    uri = str(tmp_path / "state")
+    assert vacuum_newest(spark, uri) == 0
+    for number in range(1, 5):
+        merge_newest(dated(spark, [(day(number), "G", "M", 1, 0, str(number))]), uri, buckets=2)
+    monkeypatch.setattr(storage, "publish_text", lambda *_: False)
+    with pytest.raises(RuntimeError):  # another writer was first, so its state is named by nothing
+        merge_newest(dated(spark, [(day(9), "G", "M", 1, 0, "9")]), uri, buckets=2)
+    monkeypatch.undo()
+    before = values(read_newest(spark, uri))
+    assert len(list(Path(uri).glob("state=*"))) == 5
+    assert vacuum_newest(spark, uri) == 0  # all young
+    assert vacuum_newest(spark, uri, min_age_s=-60) == 3
+    names = {name.removeprefix("state=") for name in os.listdir(uri) if name.startswith("state=")}
+    assert len(names) == 2
+    tables = {t.name for t in spark.catalog.listTables() if t.name.startswith("newest_")}
+    assert all(f"newest_{name}" in tables for name in names)
+    assert values(read_newest(spark, uri)) == before
+    assert merge_newest(dated(spark, [(day(5), "G", "M", 1, 0, "5")]), uri, buckets=2) == 5
+    assert vacuum_newest(spark, uri, versions=1, min_age_s=-60) == 2
+    assert [r["serial_number"] for r in read_newest(spark, uri).collect()] == ["G"]
+
+
 def test_the_state_is_not_shuffled(spark, tmp_path, monkeypatch):
     from spindlewatch.operators import newest
 
